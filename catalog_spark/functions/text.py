@@ -56,9 +56,14 @@ def fold_accents(c: Column) -> Column:
     return _only_where(c.rlike(r"[^\x00-\x7f]"), _strip_marks, c)
 
 
+def words(folded: Column) -> Column:
+    """Words of two or more word characters in text that is lower-cased and accent-free."""
+    return F.regexp_extract_all(folded, F.lit(WORD), F.lit(1))
+
+
 def tokens(c: Column) -> Column:
     """Lower-cased, accent-free words of two or more word characters."""
-    return F.regexp_extract_all(fold_accents(F.lower(c)), F.lit(WORD), F.lit(1))
+    return words(fold_accents(F.lower(c)))
 
 
 def bigrams(words: Column) -> Column:

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 log = logging.getLogger(__name__)
 
 SEPARATOR = "-"
+# JSON texts that count as not filled.
+EMPTY_JSON = r'^(""|null|false|\{\}|\[\]|-?0(\.0*)?([eE][+-]?\d+)?)$'
 
 
 def column_name(path: tuple[str, ...]) -> str:
@@ -61,8 +63,24 @@ def discover_leaves(docs: DataFrame, column: str, keep: list[str] | None = None,
     with these names, ``max_columns`` guards against data used as keys.
     """
     leaves: dict[tuple[str, ...], Leaf] = {}
-    pending: list[tuple[str, ...]] = [()]
-    while pending:
+    pending: list[tuple[str, ...]] = []
+    conflicts: list[tuple[str, ...]] = []
+
+    def walk(path: tuple[str, ...], t: T.DataType) -> None:
+        if isinstance(t, T.StructType):
+            for f in t.fields:
+                walk((*path, f.name), f.dataType)
+        elif isinstance(t, T.VariantType) and path not in pending:
+            conflicts.append(path)
+        elif path:
+            leaves[path] = Leaf(path, _leaf_type(t))
+
+    whole = _parse_schema(docs.agg(F.schema_of_variant_agg(column)).first()[0])
+    walk((), whole)
+    if not isinstance(whole, (T.StructType, T.NullType)):
+        conflicts = [()]
+    while conflicts:
+        pending, conflicts = conflicts, []
         exprs = []
         for i, path in enumerate(pending):
             v = F.variant_get(column, json_path(path), "variant") if path else F.col(column)
@@ -72,30 +90,16 @@ def discover_leaves(docs: DataFrame, column: str, keep: list[str] | None = None,
                 F.schema_of_variant_agg(F.when(~is_object, v)).alias(f"p{i}"),
             ]
         found = docs.agg(*exprs).first()
-        conflicts: list[tuple[str, ...]] = []
-
-        def walk(path: tuple[str, ...], t: T.DataType) -> None:
-            if isinstance(t, T.StructType):
-                for f in t.fields:
-                    walk((*path, f.name), f.dataType)
-            elif isinstance(t, T.VariantType) and path not in pending:
-                conflicts.append(path)
-            else:
-                leaves[path] = Leaf(path, _leaf_type(t))
-
         for i, path in enumerate(pending):
             below, plain = _parse_schema(found[f"o{i}"]), _parse_schema(found[f"p{i}"])
             is_struct = isinstance(below, T.StructType)
             if is_struct:
                 walk(path, below)
             if not isinstance(plain, T.NullType) or not is_struct:
-                kind = "list" if isinstance(plain, T.ArrayType) else "value"
                 if path:
                     leaves[path] = Leaf(path, T.StringType() if is_struct else _leaf_type(plain), mixed=is_struct)
                 elif not isinstance(plain, T.NullType):
                     leaves[()] = Leaf((), _leaf_type(plain), mixed=True)
-                    log.info("documents that are no objects go to column %r", kind)
-        pending = conflicts
     result = [leaves[p] for p in sorted(leaves)]
     if keep is not None:
         result = [leaf for leaf in result if column_name(leaf.path) in set(keep)]
@@ -143,11 +147,11 @@ def flatten_json(docs: DataFrame, text: str, keep_columns: list[str] | None = No
     order and nulls kept.  ``keep_columns`` are carried along unchanged.
     """
     carried = list(keep_columns or [])
-    variants = docs.select(*carried, text, F.try_parse_json(text).alias("__v")).where("__v IS NOT NULL")
+    variants = docs.select(*carried, text, F.try_parse_json(text).alias("__v"))
     if leaves is None:
         leaves = discover_leaves(variants, "__v", **limits)
     schema = _nested_schema(leaves)
-    rows = variants
+    rows = variants.where("__v IS NOT NULL")
     if schema.fields:
         rows = rows.withColumn("__doc", F.from_json(text, schema))
     pairs = []
@@ -194,23 +198,16 @@ def array_text(value: Column) -> Column:
 def explode_path(docs: DataFrame, text: str, path: tuple[str, ...], element: str, keep_columns: list[str], alias: str = "item") -> DataFrame:
     """One row per element of the array at ``path``; none where the path is missing or no array."""
     array = F.from_json(F.get_json_object(text, json_path(path)), f"array<{element}>")
-    return docs.select(*keep_columns, F.explode(array).alias(alias))
+    return docs.select(*keep_columns, F.explode_outer(array).alias(alias)).where(F.col(alias).isNotNull())
 
 
 def first_filled(v: Column, paths: list[tuple[str, ...]]) -> Column:
     """Trimmed text of the first path whose value is filled; '', 0, false and null are not."""
 
     def filled(path: tuple[str, ...]) -> Column:
-        value = F.variant_get(v, json_path(path), "variant")
-        kind, text = F.schema_of_variant(value), F.variant_get(v, json_path(path), "string")
-        number = kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
-        empty = (
-            ((kind == "STRING") & (text == ""))
-            | ((kind == "BOOLEAN") & (text == "false"))
-            | (number & (text.try_cast("double") == 0))
-            | kind.isin("ARRAY<VOID>", "OBJECT<>", "VOID")
-        )
-        return F.when(value.isNotNull() & ~empty, text)
+        # The JSON form tells the string "0" from the number 0.
+        written = F.to_json(F.variant_get(v, json_path(path), "variant"))
+        return F.when(~written.rlike(EMPTY_JSON), F.variant_get(v, json_path(path), "string"))
 
     return F.trim(F.coalesce(*[filled(p) for p in paths], F.lit("")))
 
@@ -241,7 +238,8 @@ def key_values(docs: DataFrame, text: str, key: str, keep_columns: list[str], al
 
     docs = docs.select(*keep_columns, F.trim(text).alias("__t"))
     docs = docs.where(F.col("__t").contains(f'"{key}"') & F.try_parse_json("__t").isNotNull())
-    return docs.select(*keep_columns, F.explode(collect("__t")).alias(alias)).distinct()
+    found = docs.select(*keep_columns, F.explode_outer(collect("__t")).alias(alias))
+    return found.where(F.col(alias).isNotNull()).distinct()
 
 
 def union_of_keys(frames: list[DataFrame]) -> DataFrame:

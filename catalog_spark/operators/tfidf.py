@@ -10,8 +10,8 @@ from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normali
 from pyspark.ml.linalg import DenseVector
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.text import bigrams, tokens
-from ..session import materialize
+from ..functions.text import bigrams, fold_accents, tokens, words
+from ..session import materialize, spread
 
 # Vocabulary limit and least document frequency used when none are given.
 MAX_FEATURES = 12_000
@@ -20,14 +20,22 @@ MIN_DF = 3
 
 def with_ngrams(df: DataFrame, text: str, output: str = "grams") -> DataFrame:
     """Words followed by pairs of neighbouring words."""
-    words = df.withColumn("__w", tokens(F.col(text)))
-    return words.withColumn(output, F.concat("__w", bigrams(F.col("__w")))).drop("__w")
+    cut = df.withColumn("__w", tokens(F.col(text)))
+    return cut.withColumn(output, F.concat("__w", bigrams(F.col("__w")))).drop("__w")
 
 
 def term_counts(df: DataFrame, row_id: str, text: str) -> DataFrame:
-    """(row_id, term, tf).  All terms of a row are in one task, so the shuffle carries distinct terms only."""
-    grams = with_ngrams(df.select(row_id, text), text)
-    return grams.select(row_id, F.explode("grams").alias("term")).groupBy(row_id, "term").agg(F.count("*").alias("tf"))
+    """(row_id, term, tf).
+
+    The texts are shuffled by row id after the Python step and before they are cut
+    up; counting then needs no shuffle of the far larger number of terms.
+    """
+    folded = spread(df.select(row_id, text)).select(row_id, fold_accents(F.lower(text)).alias("__t")).repartition(row_id)
+    grams = folded.select(row_id, words(F.col("__t")).alias("__w"))
+    grams = grams.select(row_id, F.concat("__w", bigrams(F.col("__w"))).alias("__g"))
+    # The outer form keeps Spark from computing the n-grams once more to filter empty ones.
+    terms = grams.select(row_id, F.explode_outer("__g").alias("term")).where(F.col("term").isNotNull())
+    return terms.groupBy(row_id, "term").agg(F.count("*").alias("tf"))
 
 
 @dataclass(frozen=True)

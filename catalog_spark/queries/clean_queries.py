@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import spec
 from ..functions import clean, text
 from ..operators import relate
+from ..session import spread
 from . import fixtures as fx
 from .registry import query
 
@@ -180,7 +181,7 @@ def strip_sql(c: str) -> str:
     UNION ALL SELECT concat('d', doc_id), length({strip_sql('text')}), md5({strip_sql('text')}) FROM documents""",
 )
 def html_strip(t):
-    parts = [("p", "page_id", "html", t.pages), ("d", "doc_id", "text", t.documents)]
+    parts = [("p", "page_id", "html", t.spread("pages", "page_id")), ("d", "doc_id", "text", t.spread("documents", "doc_id"))]
     rows = [df.select(F.concat(F.lit(p), k).alias("id"), text.strip_html(F.col(c)).alias("s")) for p, k, c, df in parts]
     return rows[0].unionByName(rows[1]).select("id", F.length("s").cast("bigint").alias("n"), F.md5("s").alias("digest"))
 
@@ -194,7 +195,7 @@ def html_strip(t):
 def text_corpus(t):
     docs = t.documents.select(F.col("doc_id").alias("tcin"), "text")
     pages = t.pages.select(F.col("page_id").alias("tcin"), "html")
-    rows = fx.products(t).join(docs, "tcin", "left").join(pages, "tcin", "left")
+    rows = spread(fx.products(t), "tcin").join(docs, "tcin", "left").join(pages, "tcin", "left")
     rows = rows.select("tcin", text.corpus([F.col(c) for c in ["title", "handling", "text", "html"]]).alias("corpus"))
     return rows.select("tcin", F.length("corpus").cast("bigint").alias("n"), F.md5("corpus").alias("digest"))
 
@@ -210,7 +211,7 @@ DUCK_TOKENS = r"regexp_extract_all(strip_accents(lower({0})), '[\p{{L}}\p{{N}}_]
     SELECT doc_id, len(words) AS n_words, len(pairs) AS n_pairs, md5(array_to_string(words, '|')) AS word_digest, md5(array_to_string(pairs, '|')) AS pair_digest FROM b""",
 )
 def tokenize_ngrams(t):
-    words = t.documents.select("doc_id", text.tokens(F.col("text")).alias("w"))
+    words = t.spread("documents", "doc_id").select("doc_id", text.tokens(F.col("text")).alias("w"))
     rows = words.withColumn("b", text.bigrams(F.col("w")))
     return rows.select(
         "doc_id",

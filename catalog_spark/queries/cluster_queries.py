@@ -165,7 +165,7 @@ def feature_rows(t):
 def kmeans_assign(t):
     rows = materialize(fx.vectors(t).select("vec_id", "vector"), "vectors").withColumn("features", array_to_vector("vector")).persist()
     try:
-        model = cluster.fit_kmeans(rows, 10, restarts=3)
+        model = cluster.fit_kmeans(rows, 10, restarts=2)
     finally:
         rows.unpersist()
     return model.transform(rows).select("vec_id", "cluster_id")
@@ -182,7 +182,7 @@ def minibatch_kmeans_assign(t):
 def k_metrics_table(t):
     rows = feature_rows(t).persist()
     try:
-        return kselect.sweep(rows, 2, 5, "vec_id", restarts=2)
+        return kselect.sweep(rows, 2, 5, "vec_id", restarts=1)
     finally:
         rows.unpersist()
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.clean import canonical_origin, numeric
 from ..operators import features, profile, summary, tfidf
 from ..operators.quantiles import group_mode, group_quantile
+from ..session import materialize
 from . import fixtures as fx
 from .clean_queries import CLEANED, DUCK_TOKENS, cleaned_products, origin_sql
 from .registry import query
@@ -170,7 +171,7 @@ vocabulary AS (SELECT term, df, ln((1 + (SELECT count(*) FROM documents)) / (1 +
 )
 def tfidf_weights(t):
     """All weights of all documents, reported per term."""
-    counts = tfidf.term_counts(t.documents, "doc_id", "text")
+    counts = materialize(tfidf.term_counts(t.documents, "doc_id", "text"), "counts")
     fit = tfidf.fit_tfidf(counts, t.documents.count())
     weights = fit.long(counts, "doc_id").groupBy("term").agg(F.sum("weight").alias("total"), F.max("weight").alias("top"))
     return weights.join(F.broadcast(fit.vocabulary), "term").select(

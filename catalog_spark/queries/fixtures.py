@@ -80,7 +80,7 @@ def raw_lines(t: Tables) -> DataFrame:
 
 def product_documents(t: Tables) -> DataFrame:
     """(o_orderkey, doc): one product document per order, as JSON text with nulls kept."""
-    facts = t.sql(ORDER_FACTS, orders=t.orders, customer=t.customer, nation=t.nation, region=t.region)
+    facts = t.sql(ORDER_FACTS, orders=t.spread("orders", "o_orderkey"), customer=t.customer, nation=t.nation, region=t.region)
     key = F.col("o_orderkey")
     text = lambda c: c.cast("string")
 

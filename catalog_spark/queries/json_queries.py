@@ -39,7 +39,7 @@ SELECT concat('{{"id":', o_orderkey, ',"odd  key.v":"', o_orderstatus, '","a":{{
     """SELECT o_orderkey AS id, o_orderstatus AS "odd_key-v", CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey ELSE o_custkey END AS "a-b" FROM orders""",
 )
 def flatten_key_normalize(t):
-    return flatten.flatten_json(t.sql(ODD, orders=t.orders), "doc")
+    return flatten.flatten_json(t.sql(ODD, orders=t.spread("orders", "o_orderkey")), "doc")
 
 
 @query(
@@ -48,7 +48,7 @@ def flatten_key_normalize(t):
     SELECT o_orderkey, {CRUMBS} AS crumbs, concat('[', o_custkey, ',null,"', o_orderstatus, '"]') AS mixed FROM facts""",
 )
 def array_to_json_text(t):
-    facts = t.sql(fx.ORDER_FACTS, orders=t.orders, customer=t.customer, nation=t.nation, region=t.region)
+    facts = t.sql(fx.ORDER_FACTS, orders=t.spread("orders", "o_orderkey"), customer=t.customer, nation=t.nation, region=t.region)
     crumb = lambda c: F.struct(c.alias("name"))
     second = F.when(F.col("o_orderkey") % 8 != 0, F.col("n_name"))
     crumbs = flatten.array_text(F.array(crumb(F.col("r_name")), crumb(second)))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import ship_package
+from ..session import ship_package, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,6 +21,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, name: str, key: str) -> DataFrame:
+        return spread(getattr(self, name), key)
+
     def sql(self, text: str, **frames: DataFrame) -> DataFrame:
         return self.spark.sql(text, **frames)
 

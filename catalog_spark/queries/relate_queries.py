@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.clean import iso_second
 from ..operators import relate, summary
 from ..operators.quantiles import group_mode
-from ..session import work_folder
+from ..session import spread, work_folder
 from ..sources import sinks
 from . import fixtures as fx
 from .registry import query
@@ -205,7 +205,7 @@ def stream_dedup_ingest(t):
     from ..streaming.ingest import ingest_new
 
     source, sink, checkpoint = (work_folder(t.spark, n) for n in ("drop", "sink", "progress"))
-    items = fx.store_items(t).select(F.col("store_id").cast("string").alias("_store_id"), F.col("tcin").cast("string").alias("_tcin"), iso_second(F.col("fetched_at")).alias("_fetched_at"))
+    items = spread(fx.store_items(t), "store_id", "tcin").select(F.col("store_id").cast("string").alias("_store_id"), F.col("tcin").cast("string").alias("_tcin"), iso_second(F.col("fetched_at")).alias("_fetched_at"))
     for drop in (items.where(F.col("_fetched_at") < "1997"), items.where(F.col("_fetched_at") >= "1995")):
         sinks.append_jsonl(drop, source)
         ingest_new(t.spark, source, sink, checkpoint).awaitTermination()

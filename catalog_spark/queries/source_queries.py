@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.clean import iso_second
-from ..session import work_folder
+from ..session import spread, work_folder
 from ..sources import files, listing, sinks
 from ..spec import curated
 from . import fixtures as fx
@@ -123,7 +123,7 @@ FROM {customer}
     UNION ALL SELECT c_custkey, 1, 'second', '', '', '', '' FROM customer""",
 )
 def panel_listing_extract(t):
-    rows = listing.panel_table(t.sql(PANELS, customer=t.customer))
+    rows = listing.panel_table(t.sql(PANELS, customer=t.spread("customer", "c_custkey")))
     return rows.toDF("page_id", "pos", "zip_code", "type", "cities", "county", "area_codes")
 
 
@@ -134,7 +134,7 @@ def panel_listing_extract(t):
 )
 def jsonl_append_roundtrip(t):
     path = work_folder(t.spark, "append")
-    items = fx.store_items(t).select("store_id", "tcin", iso_second(F.col("fetched_at")).alias("fetched_at"))
+    items = spread(fx.store_items(t), "store_id", "tcin").select("store_id", "tcin", iso_second(F.col("fetched_at")).alias("fetched_at"))
     early = F.col("fetched_at") < "1996"
     sinks.append_jsonl(items.where(early), path)
     sinks.append_jsonl(items.where(~early), path)

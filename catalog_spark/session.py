@@ -67,6 +67,18 @@ def work_folder(spark: SparkSession, label: str = "table") -> str:
     return f"{base.rstrip('/')}/catalog_spark/{label}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give every core work when a table has fewer input splits than there are cores.
+
+    For heavy per-row work on a few small files; a table with enough splits is
+    returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

@@ -17,7 +17,8 @@ VOID_TAGS = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link",
 def anchor_items(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> DataFrame:
     """(page_id, pos, href, text) for each linked list item, with built-in expressions only."""
     items = F.regexp_extract_all(F.col(html), F.lit(ANCHOR_ITEM), F.lit(0))
-    rows = pages.select(page_id, F.posexplode(items).alias("pos", "item"))
+    # Outer, so that the pattern is not matched a second time to filter empty pages.
+    rows = pages.select(page_id, F.posexplode_outer(items).alias("pos", "item")).where(F.col("pos").isNotNull())
     return rows.select(
         page_id,
         "pos",
@@ -129,8 +130,8 @@ def panel_items(pages: DataFrame, page_id: str = "page_id", html: str = "html",
     def read(s: pd.Series) -> pd.Series:
         return s.map(lambda page: _read_panel(page, names))
 
-    with_panel = pages.where(F.col(html).contains("panel-prefixes")).select(page_id, F.explode(read(F.col(html))).alias("r"))
-    return with_panel.select(page_id, "r.pos", "r.header", "r.cells")
+    with_panel = pages.where(F.col(html).contains("panel-prefixes")).select(page_id, F.explode_outer(read(F.col(html))).alias("r"))
+    return with_panel.where(F.col("r").isNotNull()).select(page_id, "r.pos", "r.header", "r.cells")
 
 
 def panel_table(pages: DataFrame, columns: list[str] | None = None, **options) -> DataFrame:
