@@ -67,6 +67,12 @@ def json_text(c: Column) -> Column:
     return F.when(valid, strip_space(c)).otherwise(_literals(F.when(looks_json & ~valid, c)))
 
 
+def parse_list(c: Column, kind: str) -> Column:
+    """Array of structs from a column of JSON text; anything that is no list is NULL."""
+    text = json_text(c)
+    return F.from_json(F.when(text.startswith("["), text), kind)
+
+
 def breadcrumb_path(crumbs: Column) -> Column:
     """Non-empty names joined by `` > ``."""
     names = F.filter(F.transform(crumbs, lambda x: x["name"]), lambda n: n.isNotNull() & (n != ""))
@@ -125,15 +131,15 @@ def children_rollup(children: Column) -> dict[str, Column]:
 def derive_from_json(df: DataFrame) -> DataFrame:
     """Columns derived from the known nested shapes that ``df`` has as JSON text."""
     if BREADCRUMBS in df.columns:
-        crumbs = F.from_json(json_text(F.col(BREADCRUMBS)), BREADCRUMB_TYPE)
+        crumbs = parse_list(F.col(BREADCRUMBS), BREADCRUMB_TYPE)
         df = df.withColumn(CATEGORY_PATH, breadcrumb_path(crumbs))
         df = df.withColumn(parsed(BREADCRUMBS), F.when(crumbs.isNotNull(), json_text(F.col(BREADCRUMBS))))
     if SECONDARY_AVERAGES in df.columns:
-        averages = F.from_json(json_text(F.col(SECONDARY_AVERAGES)), AVERAGES_TYPE)
+        averages = parse_list(F.col(SECONDARY_AVERAGES), AVERAGES_TYPE)
         df = df.withColumns(
             {"rating_quality": keyed_value(averages, "quality"), "rating_value": keyed_value(averages, "value")}
         )
     if CHILDREN in df.columns:
-        df = df.withColumn("__children", F.from_json(json_text(F.col(CHILDREN)), CHILDREN_TYPE))
+        df = df.withColumn("__children", parse_list(F.col(CHILDREN), CHILDREN_TYPE))
         df = df.withColumns(children_rollup(F.col("__children"))).drop("__children")
     return df

@@ -242,6 +242,24 @@ def key_values(docs: DataFrame, text: str, key: str, keep_columns: list[str], al
     return found.where(F.col(alias).isNotNull()).distinct()
 
 
+def add_fields(doc: Column, fields: dict[str, Column]) -> Column:
+    """JSON object text with string fields put in front; a field the object already has stays as it is."""
+    inner = lambda text: F.substring(text, F.lit(2), F.length(text) - 2)
+    keys = F.json_object_keys(doc)
+    own = inner(F.trim(doc))
+    parts = [F.when(~F.array_contains(keys, name), inner(F.to_json(F.struct(value.cast("string").alias(name))))) for name, value in fields.items()]
+    parts.append(own)
+    written = F.array_join(F.filter(F.array(*parts), lambda p: p.isNotNull() & (F.trim(p) != "")), ",")
+    return F.concat(F.lit("{"), written, F.lit("}"))
+
+
+def replace_fields(doc: Column, fields: dict[str, Column]) -> Column:
+    """JSON object text with string fields added or, where present, replaced."""
+    kept = F.map_filter(F.from_json(doc, "map<string,variant>"), lambda k, v: ~k.isin(*fields))
+    pairs = [x for name, value in fields.items() for x in (F.lit(name), value.cast("string").cast("variant"))]
+    return F.to_json(F.map_concat(kept, F.create_map(*pairs)), {"ignoreNullFields": "false"})
+
+
 def union_of_keys(frames: list[DataFrame]) -> DataFrame:
     """All rows under all columns, absent values NULL."""
     result = frames[0]
