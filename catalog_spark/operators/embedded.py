@@ -12,15 +12,6 @@ from ..spec import BREADCRUMBS, CATEGORY_PATH, CHILDREN, SECONDARY_AVERAGES, par
 
 JSON_START = f"^{SPACE}*[\\[{{]"
 
-BREADCRUMB_TYPE = "array<struct<name:string>>"
-AVERAGES_TYPE = "array<struct<id:string,value:double>>"
-CHILDREN_TYPE = (
-    "array<struct<"
-    "price:struct<current_retail:string,reg_retail:string>,"
-    "item:struct<primary_brand:struct<name:string>,"
-    "handling:struct<import_designation_description:string>,"
-    "product_description:struct<bullet_descriptions:array<string>>>>>"
-)
 PACKAGE_QUANTITY = r"(?i)Package Quantity:\s*(\d+)"
 
 
@@ -67,10 +58,30 @@ def json_text(c: Column) -> Column:
     return F.when(valid, strip_space(c)).otherwise(_literals(F.when(looks_json & ~valid, c)))
 
 
-def parse_list(c: Column, kind: str) -> Column:
-    """Array of structs from a column of JSON text; anything that is no list is NULL."""
-    text = json_text(c)
-    return F.from_json(F.when(text.startswith("["), text), kind)
+def _elements(text: Column, **fields: tuple[str, str]) -> Column:
+    """Array of structs from JSON text; an element or field of another shape gives NULLs, no list gives NULL."""
+    array = F.try_variant_get(F.try_parse_json(text), "$", "array<variant>")
+    return F.transform(array, lambda x: F.struct(*[F.try_variant_get(x, path, kind).alias(n) for n, (path, kind) in fields.items()]))
+
+
+def breadcrumbs(text: Column) -> Column:
+    return _elements(text, name=("$.name", "string"))
+
+
+def secondary_averages(text: Column) -> Column:
+    return _elements(text, id=("$.id", "string"), value=("$.value", "double"))
+
+
+def children(text: Column) -> Column:
+    """Prices, brand, import designation and bullet texts of each child."""
+    return _elements(
+        text,
+        current_retail=("$.price.current_retail", "string"),
+        reg_retail=("$.price.reg_retail", "string"),
+        brand=("$.item.primary_brand.name", "string"),
+        handling=("$.item.handling.import_designation_description", "string"),
+        bullets=("$.item.product_description.bullet_descriptions", "array<string>"),
+    )
 
 
 def breadcrumb_path(crumbs: Column) -> Column:
@@ -98,7 +109,7 @@ def _filled(values: Column) -> Column:
 
 
 def child_prices(children: Column) -> Column:
-    prices = F.transform(children, lambda x: numeric(F.coalesce(x["price"]["current_retail"], x["price"]["reg_retail"])))
+    prices = F.transform(children, lambda x: numeric(F.coalesce(x["current_retail"], x["reg_retail"])))
     return F.filter(prices, lambda p: p.isNotNull())
 
 
@@ -106,8 +117,7 @@ def package_quantities(children: Column) -> Column:
     """First ``Package Quantity`` number of each child that has one."""
 
     def first_match(x: Column) -> Column:
-        bullets = x["item"]["product_description"]["bullet_descriptions"]
-        hits = F.filter(F.transform(bullets, lambda b: F.regexp_extract(b, PACKAGE_QUANTITY, 1)), lambda s: s != "")
+        hits = F.filter(F.transform(x["bullets"], lambda b: F.regexp_extract(b, PACKAGE_QUANTITY, 1)), lambda s: s != "")
         return F.get(hits, F.lit(0)).try_cast("bigint")
 
     return F.filter(F.transform(children, first_match), lambda q: q.isNotNull())
@@ -116,14 +126,11 @@ def package_quantities(children: Column) -> Column:
 def children_rollup(children: Column) -> dict[str, Column]:
     """Price range and modes over the children of one row; no shuffle, as a row holds its children."""
     prices = child_prices(children)
-    item = lambda x: x["item"]
     return {
         "children_price_min": F.array_min(prices),
         "children_price_max": F.array_max(prices),
-        "children_brand_mode": array_mode(_filled(F.transform(children, lambda x: item(x)["primary_brand"]["name"]))),
-        "children_handling_mode": array_mode(
-            _filled(F.transform(children, lambda x: item(x)["handling"]["import_designation_description"]))
-        ),
+        "children_brand_mode": array_mode(_filled(F.transform(children, lambda x: x["brand"]))),
+        "children_handling_mode": array_mode(_filled(F.transform(children, lambda x: x["handling"]))),
         "children_pkg_qty_mode": array_mode(package_quantities(children)),
     }
 
@@ -131,15 +138,15 @@ def children_rollup(children: Column) -> dict[str, Column]:
 def derive_from_json(df: DataFrame) -> DataFrame:
     """Columns derived from the known nested shapes that ``df`` has as JSON text."""
     if BREADCRUMBS in df.columns:
-        crumbs = parse_list(F.col(BREADCRUMBS), BREADCRUMB_TYPE)
+        crumbs = breadcrumbs(json_text(F.col(BREADCRUMBS)))
         df = df.withColumn(CATEGORY_PATH, breadcrumb_path(crumbs))
         df = df.withColumn(parsed(BREADCRUMBS), F.when(crumbs.isNotNull(), json_text(F.col(BREADCRUMBS))))
     if SECONDARY_AVERAGES in df.columns:
-        averages = parse_list(F.col(SECONDARY_AVERAGES), AVERAGES_TYPE)
+        averages = secondary_averages(json_text(F.col(SECONDARY_AVERAGES)))
         df = df.withColumns(
             {"rating_quality": keyed_value(averages, "quality"), "rating_value": keyed_value(averages, "value")}
         )
     if CHILDREN in df.columns:
-        df = df.withColumn("__children", parse_list(F.col(CHILDREN), CHILDREN_TYPE))
+        df = df.withColumn("__children", children(json_text(F.col(CHILDREN))))
         df = df.withColumns(children_rollup(F.col("__children"))).drop("__children")
     return df

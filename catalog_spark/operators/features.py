@@ -124,7 +124,7 @@ class CategoryEncoder:
         rows = category_rows(df, row_id, self.columns)
         lookup = self.levels.select("column_name", "level", "pooled")
         feature = F.concat(F.lit("cat__"), "column_name", F.lit("_"), "pooled")
-        return lookup_join(rows, lookup, ["column_name", "level"]).select(
+        return lookup_join(rows, lookup, ["column_name", "level"], written=True).select(
             row_id, feature.alias("feature"), F.lit(1.0).alias("value")
         )
 
@@ -137,7 +137,7 @@ class CategoryEncoder:
                 F.col("level").alias("__level"), F.col("position").cast("double").alias(f"__pos{i}")
             )
             indexed = indexed.withColumn("__level", F.coalesce(F.col(c).cast("string"), F.lit(NULL_LEVEL)))
-            indexed = lookup_join(indexed, lookup, ["__level"], "left").drop("__level")
+            indexed = lookup_join(indexed, lookup, ["__level"], "left", written=True).drop("__level")
             indexed = indexed.withColumn(f"__pos{i}", F.coalesce(f"__pos{i}", F.lit(float(sizes[c]))))
             index_names.append(f"__pos{i}")
             hot_names.append(f"__hot{i}")

@@ -32,14 +32,16 @@ def lookup_join(
     how: str = "inner",
     max_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
+    written: bool = False,
 ) -> DataFrame:
     """Join each fact to its row of ``lookup`` (unique per key, keys matched null-safely).
 
-    The lookup is written once and counted.  Up to ``max_rows`` rows it is
+    The lookup is written once (unless it is ``written`` already) and counted.  Up to ``max_rows`` rows it is
     broadcast, so the facts do not move at all.  A larger one is shuffled, with the
     hot keys of the facts split off first (see ``hot_key_join``).
     """
-    lookup = materialize(lookup, "lookup")
+    if not written:
+        lookup = materialize(lookup, "lookup")
     if lookup.count() <= max_rows:
         return _null_safe_join(facts, F.broadcast(lookup), on, how)
     return hot_key_join(facts, lookup, on, how, hot_rows)

@@ -141,9 +141,9 @@ def parse_embedded_json(t):
     )
 
 
-def _product(t, path: str, kind: str):
+def _product(t, path: str, parse):
     text = F.get_json_object("doc", f"$.data.product.{path}")
-    return fx.product_documents(t).select("o_orderkey", F.from_json(text, kind).alias("x"))
+    return fx.product_documents(t).select("o_orderkey", parse(text).alias("x"))
 
 
 @query(
@@ -151,7 +151,7 @@ def _product(t, path: str, kind: str):
     f"""WITH facts AS ({fx.FACTS}) SELECT o_orderkey, CASE WHEN o_orderkey % 8 = 0 THEN r_name ELSE concat(r_name, ' > ', n_name) END AS category_path FROM facts""",
 )
 def breadcrumb_path(t):
-    rows = _product(t, "category.breadcrumbs", embedded.BREADCRUMB_TYPE)
+    rows = _product(t, "category.breadcrumbs", embedded.breadcrumbs)
     return rows.select("o_orderkey", embedded.breadcrumb_path(F.col("x")).alias("category_path"))
 
 
@@ -160,7 +160,7 @@ def breadcrumb_path(t):
     """SELECT o_orderkey, CASE WHEN o_orderkey % 9 <> 0 THEN (o_orderkey % 50) / 10 END AS rating_quality, (o_orderkey % 40) / 10 AS rating_value FROM orders""",
 )
 def keyed_array_lookup(t):
-    rows = _product(t, "ratings_and_reviews.statistics.secondary_averages", embedded.AVERAGES_TYPE)
+    rows = _product(t, "ratings_and_reviews.statistics.secondary_averages", embedded.secondary_averages)
     return rows.select(
         "o_orderkey",
         embedded.keyed_value(F.col("x"), "quality").alias("rating_quality"),
@@ -184,7 +184,7 @@ def _mode_sql(column: str) -> str:
     LEFT JOIN quantity_mode USING (o_orderkey)""",
 )
 def children_rollup(t):
-    rows = _product(t, "children", embedded.CHILDREN_TYPE)
+    rows = _product(t, "children", embedded.children)
     columns = embedded.children_rollup(F.col("x"))
     rounded = {c: F.round(v, 4) if "price" in c else v for c, v in columns.items()}
     return rows.select("o_orderkey", *[v.alias(c) for c, v in rounded.items()])
@@ -196,7 +196,7 @@ def children_rollup(t):
     FROM facts LEFT JOIN children USING (o_orderkey) GROUP BY o_orderkey""",
 )
 def package_quantity(t):
-    rows = _product(t, "children", embedded.CHILDREN_TYPE)
+    rows = _product(t, "children", embedded.children)
     found = embedded.package_quantities(F.col("x"))
     return rows.select("o_orderkey", F.size(found).cast("bigint").alias("n"), F.array_join(found.cast("array<string>"), ",").alias("quantities"))
 
