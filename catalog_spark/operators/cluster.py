@@ -10,6 +10,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.vectors import distance
+from ..session import work_folder
 from .skew import lookup_join
 
 # Restarts of a final fit and of a fit within the sweep over K.
@@ -114,15 +115,22 @@ def initial_centers(df: DataFrame, k: int, row_id: Column, vector: str = "vector
 
 
 def fit_minibatch(df: DataFrame, k: int, row_id: str, vector: str = "vector", batches: int = 8, epochs: int = 3, seed: int = 42, restarts: int = 1) -> np.ndarray:
-    """Mini-batch k-means over hash-split batches of a cached or written table."""
+    """Mini-batch k-means over hash-split batches.
+
+    The batches are written as folders of one table, so that an epoch reads every
+    row once.
+    """
+    slot = F.pmod(F.xxhash64(F.col(row_id), F.lit(seed)), F.lit(batches)).cast("int")
+    folder = work_folder(df.sparkSession, "batches")
+    df.select(row_id, vector, slot.alias("__slot")).write.partitionBy("__slot").parquet(folder)
+    df = df.sparkSession.read.parquet(folder)
     best, best_cost = None, None
     for r in range(restarts):
         centers = initial_centers(df, k, F.col(row_id), vector, seed + r)
         weights = np.zeros(len(centers))
-        for e in range(epochs):
-            slot = F.pmod(F.xxhash64(F.col(row_id), F.lit(seed + r), F.lit(e)), F.lit(batches))
+        for _ in range(epochs):
             for b in range(batches):
-                centers, weights = batch_update(centers, weights, df.where(slot == b), vector)
+                centers, weights = batch_update(centers, weights, df.where(F.col("__slot") == b), vector)
         if restarts == 1:
             return centers
         cost = inertia(df, centers, vector)

@@ -9,13 +9,14 @@ from functools import reduce
 import pandas as pd
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.clean import numeric
 from ..functions.vectors import as_double, scale
 from ..session import materialize
 from .quantiles import group_median
 from .skew import lookup_join
+from .summary import rank_rows
 
 NULL_LEVEL = "__null__"
 RARE_LEVEL = "__infrequent__"
@@ -152,11 +153,18 @@ class CategoryEncoder:
 
 def fit_categories(df: DataFrame, columns, min_frequency: int = 5) -> CategoryEncoder:
     counts = category_counts(df, columns, min_frequency)
-    rare_last = F.struct((F.col("pooled") == RARE_LEVEL), F.col("pooled"))
+    counts = materialize(counts, "counts")
     features = counts.select("column_name", "pooled").distinct()
-    order = Window.partitionBy("column_name").orderBy(rare_last)
-    positions = features.withColumn("position", F.row_number().over(order) - 1)
-    levels = counts.join(positions, ["column_name", "pooled"]).select("column_name", "level", "n", "pooled", "position")
+    # Levels may be many, so they are numbered over all columns at once and in parallel.
+    numbered = rank_rows(features, [F.col("column_name"), F.col("pooled") == RARE_LEVEL, F.col("pooled")], "__rank")
+    starts = numbered.groupBy("column_name").agg(F.min("__rank").alias("__start"))
+    positions = numbered.join(F.broadcast(starts), "column_name")  # one row per column
+    positions = positions.select("column_name", "pooled", (F.col("__rank") - F.col("__start")).cast("int").alias("position"))
+    # The rare level repeats for every rare value, the others occur once.
+    common = counts.where(F.col("pooled") != RARE_LEVEL).join(positions, ["column_name", "pooled"])
+    rare_position = positions.where(F.col("pooled") == RARE_LEVEL)  # one row per column at most
+    rare = counts.where(F.col("pooled") == RARE_LEVEL).join(F.broadcast(rare_position), ["column_name", "pooled"])
+    levels = common.unionByName(rare).select("column_name", "level", "n", "pooled", "position")
     return CategoryEncoder(tuple(columns), materialize(levels, "levels"))
 
 
@@ -223,10 +231,8 @@ def feature_dictionary(num_names: list[str], categories: CategoryEncoder | None,
             text_terms.select(F.lit("3txt").alias("block"), F.lit(0).alias("c"), F.col("position").alias("p"), F.concat(F.lit("txt__"), "term").alias("feature"))
         )
     names = reduce(DataFrame.unionByName, parts)
-    order = Window.orderBy("block", "c", "p")  # one row per feature, bounded by the feature count
-    return names.select(
-        (F.row_number().over(order) - 1).alias("position"), "feature", F.substring("block", 2, 3).alias("block")
-    )
+    ranked = rank_rows(names, [F.col("block"), F.col("c"), F.col("p")], "__rank")
+    return ranked.select((F.col("__rank") - 1).cast("int").alias("position"), "feature", F.substring("block", 2, 3).alias("block"))
 
 
 # ------------------------------------------------------------------- embeddings

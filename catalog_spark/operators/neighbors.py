@@ -38,15 +38,21 @@ FOUND = "id long, dist double, nn long, item string"
 
 
 def _pivots(rows: DataFrame, block_rows: int, per_cluster: int, limit: int) -> dict[int, np.ndarray]:
-    """Seeded-hash sample of rows for each cluster larger than a block: at most ``limit`` rows in all."""
+    """Hash sample of rows for each cluster larger than a block, the largest first, ``limit`` rows in all."""
     sizes = rows.groupBy("cluster").agg(F.count("*").alias("n")).where(F.col("n") > block_rows)
-    large = sizes.orderBy(F.col("n").desc(), "cluster").limit(limit // per_cluster).collect()
-    if not large:
+    budget, shares = limit, []
+    for r in sizes.orderBy(F.col("n").desc(), "cluster").limit(limit // 2).collect():
+        share = min(-(-r.n // block_rows), per_cluster, budget)
+        if share < 2:
+            break
+        shares.append((r.cluster, share))
+        budget -= share
+    if not shares:
         return {}
-    wanted = rows.sparkSession.createDataFrame([(r.cluster, min(-(-r.n // block_rows), per_cluster)) for r in large], "cluster long, p long")
+    wanted = rows.sparkSession.createDataFrame(shares, "cluster long, p long")
     order = Window.partitionBy("cluster").orderBy(F.xxhash64("id"), "id")
     picked = (
-        rows.join(F.broadcast(wanted), "cluster")  # at most limit / per_cluster rows
+        rows.join(F.broadcast(wanted), "cluster")  # at most limit / 2 rows
         .select("cluster", "p", "vector", F.row_number().over(order).alias("r"))
         .where((F.col("r") <= per_cluster) & (F.col("r") <= F.col("p")))
     )
@@ -252,11 +258,11 @@ def _lists(rows: DataFrame, n: int, block_rows: int, pivots_per_cluster: int) ->
 
 
 def _for_every_row(rows: DataFrame, lists: DataFrame) -> DataFrame:
-    """(id, item, found): copies take over the list of the first row with their vector."""
+    """(id, found): copies take over the list of the first row with their vector."""
     groups = rows.groupBy("cluster", "vector").agg(F.min("id").alias("first"), F.count("*").alias("copies"))
     repeated = materialize(groups.where(F.col("copies") > 1), "copies")
     if repeated.isEmpty():
-        return lists.join(rows.select("id", "item"), "id").select("id", "item", "found")
+        return lists.select("id", "found")
     lists = materialize(lists, "lists")
     answers = repeated.join(lists.withColumnRenamed("id", "first"), "first")
     few = answers.where(F.col("copies") <= HOT_ROWS)
@@ -268,9 +274,8 @@ def _for_every_row(rows: DataFrame, lists: DataFrame) -> DataFrame:
         later = rows.join(hot.select("cluster", "vector"), ["cluster", "vector"], "left_anti")
         parts.append(rows.join(hot, ["cluster", "vector"]))
     parts.append(later.join(few, ["cluster", "vector"]))
-    firsts = lists.join(rows.select("id", "item"), "id").select("id", "item", "found")
-    copies = [p.where(F.col("id") != F.col("first")).select("id", "item", "found") for p in parts]
-    return reduce(DataFrame.unionByName, [firsts, *copies])
+    copies = [p.where(F.col("id") != F.col("first")).select("id", "found") for p in parts]
+    return reduce(DataFrame.unionByName, [lists.select("id", "found"), *copies])
 
 
 def _distinct_items(rows: DataFrame, row_id: str, k: int, block_rows: int, pivots_per_cluster: int) -> DataFrame:
@@ -280,7 +285,7 @@ def _distinct_items(rows: DataFrame, row_id: str, k: int, block_rows: int, pivot
     open_rows, done, n = rows, None, 4 * (k + 1)
     while True:
         every = _for_every_row(rows, _lists(points, n, block_rows, pivots_per_cluster))
-        every = every.join(open_rows.select("id"), "id", "left_semi")
+        every = every.join(open_rows.select("id", "item"), "id")
         foreign = every.select("id", F.inline(F.filter("found", lambda s: s["item"] != F.col("item"))).alias("dist", "nn", "nn_item"))
         nearest = foreign.groupBy("id", "nn_item").agg(F.min(F.struct("dist", "nn")).alias("s"))
         order = Window.partitionBy("id").orderBy("s")

@@ -11,7 +11,7 @@ from pyspark.ml.linalg import DenseVector
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.text import bigrams, fold_accents, tokens, words
-from ..session import materialize, spread
+from ..session import materialize
 
 # Vocabulary limit and least document frequency used when none are given.
 MAX_FEATURES = 12_000
@@ -30,7 +30,7 @@ def term_counts(df: DataFrame, row_id: str, text: str) -> DataFrame:
     The texts are shuffled by row id after the Python step and before they are cut
     up; counting then needs no shuffle of the far larger number of terms.
     """
-    folded = spread(df.select(row_id, text)).select(row_id, fold_accents(F.lower(text)).alias("__t")).repartition(row_id)
+    folded = df.select(row_id, fold_accents(F.lower(text)).alias("__t")).repartition(row_id)
     grams = folded.select(row_id, words(F.col("__t")).alias("__w"))
     grams = grams.select(row_id, F.concat("__w", bigrams(F.col("__w"))).alias("__g"))
     # The outer form keeps Spark from computing the n-grams once more to filter empty ones.

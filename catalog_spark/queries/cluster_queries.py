@@ -127,10 +127,10 @@ def elbow_k(t):
 @query("best_k_argmax", f"WITH {DUCK_METRICS} SELECT arg_max(k, ch) AS best_k, round(max(ch), 4) AS top FROM metrics")
 def best_k_argmax(t):
     rows, labels = merged_labels(t)
-    table = kselect.partition_metrics(rows, labels).withColumn("all", F.lit(1))
-    best = summary.arg_max(table, ["all"], "k", "calinski_harabasz", "best_k")
-    top = table.groupBy("all").agg(F.round(F.max("calinski_harabasz"), 4).alias("top"))
-    return best.join(top, "all").select("best_k", "top")
+    table = materialize(kselect.partition_metrics(rows, labels), "k_metrics")
+    best = summary.arg_max(table, [], "k", "calinski_harabasz", "best_k")
+    top = table.agg(F.round(F.max("calinski_harabasz"), 4)).scalar()
+    return best.select("best_k", top.alias("top"))
 
 
 @query(

@@ -64,14 +64,16 @@ def work_folder(spark: SparkSession, label: str = "table") -> str:
         if not _local_fallback:
             _local_fallback.append(tempfile.mkdtemp(prefix="catalog-spark-"))
         base = _local_fallback[0]
-    return f"{base.rstrip('/')}/catalog_spark/{label}-{uuid.uuid4().hex}"
+    app = spark.sparkContext.applicationId  # one folder per application, to be dropped as a whole
+    return f"{base.rstrip('/')}/catalog_spark/{app}/{label}-{uuid.uuid4().hex}"
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Give every core work when a table has fewer input splits than there are cores.
 
     For heavy per-row work on a few small files; a table with enough splits is
-    returned as it is, without a shuffle.
+    returned as it is, without a shuffle.  ``df`` should be a plain scan, as its
+    splits are counted by planning it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:

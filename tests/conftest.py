@@ -12,7 +12,7 @@ DATA = Path("/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "local[8]")
+    session = build_session("tests", "local[8]", spark_sql_shuffle_partitions="4")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

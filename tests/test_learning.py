@@ -2,7 +2,6 @@ import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import functions as F
 
 from catalog_spark.operators import cluster, features, kselect, neighbors, project, tfidf
 
@@ -257,4 +256,3 @@ def test_feature_dictionary(rows):
     terms = rows([(0, "t0"), (1, "t1")], "position int, term string")
     got = features.feature_dictionary(numbers.feature_names, categories, terms, df).orderBy("position").collect()
     assert [r.feature for r in got] == ["num__n", "cat__c_x", "cat__c___infrequent__", "txt__t0", "txt__t1"]
-    assert F is not None

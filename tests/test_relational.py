@@ -106,6 +106,9 @@ def test_seeded_sample(rows):
     df = rows([(i,) for i in range(100)], "i int")
     pick = lambda seed, n=10: sorted(r.i for r in summary.seeded_sample(df, F.col("i"), n, seed).collect())
     assert pick(1) == pick(1) != pick(2) and len(pick(1)) == 10 and len(pick(1, 1000)) == 100
+    for n in (1, 40, 99, 100, 200):
+        counted = summary.seeded_sample(df, F.col("i"), n, 1, sorted_limit=0)
+        assert sorted(r.i for r in counted.collect()) == pick(1, n)
 
 
 def test_profiles(rows):
