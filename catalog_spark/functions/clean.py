@@ -23,9 +23,8 @@ def numeric(c: Column, is_text: bool = True) -> Column:
     """Number or NULL; NaN counts as missing."""
     if is_text:
         text = strip_space(c.cast("string"))
-        value = F.when(text.rlike(NUMERIC_TEXT), text.try_cast("double"))
-    else:
-        value = c.cast("double")
+        return F.when(text.rlike(NUMERIC_TEXT), text.try_cast("double"))
+    value = c.cast("double")
     return F.when(~F.isnan(value), value)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, functions as F, types as T
 
 # Whitespace as Python's str methods see it, spelled out for Java and RE2 alike.
 SPACE = r"[\x09-\x0d\x1c-\x20\x85\p{Z}]"
+SPACES = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 WORD = r"([\p{L}\p{N}_]{2,})"
 
 
@@ -31,7 +32,7 @@ def _only_where(condition: Column, udf, c: Column) -> Column:
 
 
 def strip_space(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def squeeze_space(c: Column) -> Column:

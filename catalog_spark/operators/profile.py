@@ -43,6 +43,8 @@ def inf_profile(df: DataFrame, row_id: str, columns: list[str] | None = None, ex
         for name, kind in df.dtypes
         if kind in ("double", "float") and (columns is None or name in columns)
     }
+    if not tests:
+        return df.sparkSession.createDataFrame([], "column_name string, n_inf bigint, percent double, examples string")
     return _profile(df, tests, row_id, examples, "n_inf")
 
 

@@ -52,6 +52,8 @@ class ClusterResult:
     k: int
     dictionary: DataFrame
     null_profile: DataFrame
+    inf_profile: DataFrame
+    matrix_audit: DataFrame
 
 
 def numbered(df: DataFrame) -> DataFrame:
@@ -63,7 +65,10 @@ def text_block(df: DataFrame, columns: tuple[str, ...], options: ClusterOptions,
     """(row_id, txt_features) as ARRAY<DOUBLE> or vector, and the term table of the block."""
     texts = df.select("row_id", corpus([F.col(c).cast("string") for c in columns]).alias("__text"))
     if options.text_mode == "encoder":
-        return features.encode_text(texts, "__text", encoder, "txt_features").drop("__text"), None
+        vectors = materialize(features.encode_text(texts, "__text", encoder, "txt_features").drop("__text"), "embeddings")
+        first = vectors.first()
+        names = [(i, f"embed_{i}") for i in range(len(first.txt_features) if first else 0)]
+        return vectors, df.sparkSession.createDataFrame(names, "position int, term string")
     counts = materialize(tfidf.term_counts(texts, "row_id", "__text"), "counts")
     fit = tfidf.fit_tfidf(counts, texts.count(), options.min_df, options.max_features)
     if fit.vocabulary.isEmpty():
@@ -120,7 +125,9 @@ def cluster_products(raw: DataFrame, options: ClusterOptions = ClusterOptions(),
         raw = summary.seeded_sample(raw, F.concat_ws("|", *keys), options.sample, options.seed)
     df = numbered(clean_products(raw))
     found = spec.FeatureSpec.from_options(options.numeric, options.categorical, options.text, options.weights).resolve(df)
-    nulls = profile.null_profile(df, "row_id", [*found.numeric, *found.categorical])
+    checked = [*found.numeric, *found.categorical]
+    numbers = df.select("row_id", *features.as_numbers(df, found.numeric))
+    nulls, infinite = profile.null_profile(df, "row_id", checked), profile.inf_profile(numbers, "row_id")
     matrix, dictionary = feature_matrix(df, found, options, encoder)
     vectors = matrix.withColumn("vector", vector_to_array("features")).persist()
     try:
@@ -140,7 +147,14 @@ def cluster_products(raw: DataFrame, options: ClusterOptions = ClusterOptions(),
     finally:
         vectors.unpersist()
     table = summary.cluster_summary(_with(enriched, spec.MAX_PRICE_CHAIN[0], "double"))
-    return ClusterResult(enriched, table, metrics, k, dictionary, nulls)
+    return ClusterResult(enriched, table, metrics, k, dictionary, nulls, infinite, audit_matrix(matrix, dictionary))
+
+
+def audit_matrix(matrix: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Features of the matrix with the most NaN and infinite entries; names come in after the count."""
+    cells = matrix.select("row_id", F.posexplode(vector_to_array("features")).alias("position", "value"))
+    worst = profile.nonfinite_features(cells, "row_id", "position", "value")
+    return worst.join(dictionary.select("position", "feature"), "position").drop("position")
 
 
 def _with(df: DataFrame, column: str, kind: str) -> DataFrame:

@@ -34,7 +34,8 @@ def ingest_new(
     """Process the files that arrived since the last run and append unseen (store, item) documents.
 
     Progress and the seen keys are in the checkpoint: a restart goes on where the
-    last run stopped, and the file sink commits each batch once.  Keys are kept
+    last run stopped, and the file sink commits each batch once.  ``max_files``
+    bounds a batch, and with it how much of one hot key a task can get.  Keys are kept
     for good, as a re-delivered document may be of any age; ``watermark`` bounds
     them at the price of forgetting keys older than that.
     """

@@ -87,7 +87,9 @@ def test_clustering_job(spark, rows, tmp_path):
     for c in range(result.k):
         names = [r[spec.CATEGORY_NAME] for r in found if r.cluster_id == c]
         assert {r.cluster_label for r in found if r.cluster_id == c} == {min(names, key=lambda n: (-names.count(n), n))}
-    assert all(r.nn3_id is not None and r.nn1_id != r["data-product-tcin"] and r.proj_x is not None for r in found)
+    sizes = {c: sum(r.cluster_id == c for r in found) for c in range(result.k)}
+    assert all((r.nn3_id is not None) == (sizes[r.cluster_id] > 3) for r in found)
+    assert all(r.nn1_id != r["data-product-tcin"] and r.proj_x is not None for r in found)
     assert {r.category_path for r in found} == {"All > Toys", "All > Home", "All > Food"}
     assert {r.tariff_risk for r in found} == {0, 1} and all(r.price_band for r in found if r[spec.MAX_PRICE_CHAIN[0]] is not None)
     out = str(tmp_path / "out")
@@ -97,6 +99,7 @@ def test_clustering_job(spark, rows, tmp_path):
     table = read_csv_typed(spark, str(tmp_path / "summary"))
     assert sum(r.n for r in table.collect()) == 90 and table.count() == result.k and table.columns[:3] == ["cluster_id", "n", "label"]
     assert result.dictionary.where("block = 'txt'").count() == 4
+    assert result.matrix_audit.count() == 0 and result.inf_profile.count() == 0
     assert result.null_profile.where(F.col("column_name") == spec.VOLUME).first().n_null == 1
 
 
@@ -104,6 +107,7 @@ def test_clustering_job_variants(rows):
     options = clustering.ClusterOptions(k=3, minibatch=True, sample=60, neighbors=1, text_mode="encoder", distinct_item=True)
     encoder = lambda texts: [[t.count("plastic") * 9.0, t.count("cotton") * 9.0] for t in texts]
     result = clustering.cluster_products(product_table(rows), options, encoder)
+    assert result.dictionary.where("feature = 'txt__embed_1'").count() == 1
     assert result.enriched.count() == 60 and result.metrics is None and "nn2_id" not in result.enriched.columns
     with pytest.raises(ValueError):
         clustering.cluster_products(product_table(rows), clustering.ClusterOptions(k=1))
