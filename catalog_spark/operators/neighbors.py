@@ -157,7 +157,7 @@ def _visits(blocks: DataFrame, reach: DataFrame, pivots, n: int) -> DataFrame:
         index = np.array([r.cell for r in group])
         known[c] = (index, np.array([r.radius for r in group]), np.array([r.rows for r in group]))
 
-    def targets(batches):
+    def reachable(batches):
         for pdf in batches:
             out = []
             for r in pdf.itertuples():
@@ -178,7 +178,7 @@ def _visits(blocks: DataFrame, reach: DataFrame, pivots, n: int) -> DataFrame:
             yield pd.DataFrame(out, columns=names)
 
     schema = "block long, cluster long, cell int, lo double, hi double, bound double, to_cell int, between double"
-    looking = meta.join(reach, "block").mapInPandas(targets, schema)
+    looking = meta.join(reach, "block").mapInPandas(reachable, schema)
     other = meta.select(
         "cluster", F.col("cell").alias("to_cell"), F.col("block").alias("other"), F.col("lo").alias("o_lo"), F.col("hi").alias("o_hi")
     )

@@ -7,7 +7,6 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from ..operators import cluster, kselect, neighbors, project, summary
-from ..operators.quantiles import group_quantile
 from ..plans.catalog import product_report
 from ..session import materialize, work_folder
 from . import fixtures as fx

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.clean import canonical_origin, numeric
+from ..functions.clean import canonical_origin
 from ..operators import features, profile, summary, tfidf
 from ..operators.quantiles import group_mode, group_quantile
 from ..session import materialize

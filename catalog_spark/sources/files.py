@@ -20,8 +20,8 @@ BIGINT_TEXT = r"^[+-]?\d{1,18}$"
 
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
+    location = jvm.org.apache.hadoop.fs.Path(path)
+    found = location.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(location)
     return found is not None and len(found) > 0
 
 
