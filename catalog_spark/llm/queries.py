@@ -2,8 +2,23 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column, functions as F
+
 from ..queries.registry import query
-from . import simhash
+from . import langid, simhash
+
+
+def _remainder(key: str, parts: int) -> Column:
+    """Fold of a row: crc32 of the id as text."""
+    return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % parts
+
+
+@query("op2_language_id")
+def _language(t):
+    """Language of every document, learnt from the rows that are not held out."""
+    model = langid.fit(t.documents.where(_remainder("doc_id", 3) != 1))
+    found = langid.identify(t.documents.select("doc_id", "text"), model)
+    return found.select("doc_id", (_remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
 @query("op10_simhash_near_dedup")
