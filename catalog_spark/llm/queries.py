@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from ..queries.registry import query
-from . import langid, simhash
+from . import langid, simhash, suffix
 
 
 def _remainder(key: str, parts: int) -> Column:
@@ -21,6 +21,13 @@ def _language(t):
     return found.select("doc_id", (_remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+@query("op6_suffix_array_dedup")
+def _suffix(t):
+    """Documents without the bytes of 50-byte strings that an earlier document holds."""
+    found = suffix.remove_repeated(t.documents, length=50)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query("op10_simhash_near_dedup")
 def _simhash(t):
     """Documents by component of 3-word SimHash fingerprints at most 3 bits apart."""
