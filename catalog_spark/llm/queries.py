@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..queries.registry import query
-from . import langid, simhash, suffix
+from . import langid, mixing, pieces, simhash, suffix
+
+#: Wanted shares of the tokens of good, low-quality and toxic documents.
+TARGETS = {"good": 0.90, "low": 0.07, "toxic": 0.03}
 
 
 def _remainder(key: str, parts: int) -> Column:
@@ -13,6 +16,19 @@ def _remainder(key: str, parts: int) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % parts
 
 
+def domains(labels: DataFrame) -> DataFrame:
+    """(doc_id, domain) of the labelled documents; a row without both labels has none."""
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "low").when(F.col("quality") == 1, "good")
+    return labels.select("doc_id", domain.alias("domain"))
+
+
+@query("op1_source_mixing")
+def _mixing(t):
+    """Rates and copies of all documents so that the expected tokens of the domains match the targets."""
+    model = mixing.fit_domains(t.documents, domains(t.labels))
+    return mixing.mix(t.documents, model, TARGETS).drop("row")
+
+
 @query("op2_language_id")
 def _language(t):
     """Language of every document, learnt from the rows that are not held out."""
@@ -28,6 +44,12 @@ def _suffix(t):
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+@query("op8_sentencepiece")
+def _pieces(t):
+    """Piece ids of every document, and whether they decode to its text."""
+    return pieces.round_trip(t.documents, pieces.load())
+
+
 @query("op10_simhash_near_dedup")
 def _simhash(t):
     """Documents by component of 3-word SimHash fingerprints at most 3 bits apart."""
