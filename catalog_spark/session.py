@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -92,3 +95,40 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     path = work_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A ``materialize`` whose tables are removed at the end of the block, whether it succeeds or not.
+
+    After each table is written, the JVM is asked to let go of the shuffle files of the finished steps, so a job of
+    many steps needs the disk of its largest step and not of their sum.
+    """
+    folders: list[str] = []
+
+    def keep(df: DataFrame, label: str = "table") -> DataFrame:
+        path = work_folder(spark, label)
+        folders.append(path)
+        df.write.option("compression", "zstd").parquet(path)
+        schema = df.schema
+        del df
+        release(spark)
+        return spark.read.schema(schema).parquet(path)
+
+    try:
+        yield keep
+    finally:
+        for path in folders:
+            remove(spark, path)
+
+
+def release(spark: SparkSession) -> None:
+    """Ask both sides of the driver to collect garbage, so that Spark drops shuffle files that nothing refers to."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared storage if it is there."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
