@@ -43,7 +43,7 @@ def bounded_sample(rows: DataFrame, group: str, bound: int, key: Column, most_gr
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_BYTE = np.random.default_rng(17).integers(1, 1 << 62, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BYTE = np.random.default_rng(17).integers(1, 1 << 62, (4, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: Kinds of bytes: white space, symbols, and letters or digits with everything beyond ASCII.
@@ -88,13 +88,13 @@ def spans(data: np.ndarray, start: np.ndarray, end: np.ndarray, symbols: bool) -
     return owner, at, to
 
 
-def hashed(data: np.ndarray, at: np.ndarray, to: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each stretch of ``data``; equal bytes have equal hashes."""
+def hashed(data: np.ndarray, at: np.ndarray, to: np.ndarray, kind: int = 0) -> np.ndarray:
+    """A 64-bit hash of each stretch of ``data``; equal bytes have equal hashes. Another ``kind`` (0 to 3) is another hash."""
     if not len(at):
         return np.zeros(0, np.uint64)
     low, high = int(at.min()), int(to.max())
     power, back = _grown(high - low)
-    sums = np.r_[np.uint64(0), np.cumsum(_BYTE[data[low:high]] * power[: high - low])]
+    sums = np.r_[np.uint64(0), np.cumsum(_BYTE[kind][data[low:high]] * power[: high - low])]
     h = (sums[to - low] - sums[at - low]) * back[at - low]
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xD6E8FEB86659FD93)
