@@ -5,11 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..queries.registry import query
-from . import langid, mixing, pieces, simhash, suffix
+from . import langid, mixing, pieces, polytope, simhash, suffix, topk
 
 #: Wanted shares of the tokens of good, low-quality and toxic documents.
 TARGETS = {"good": 0.90, "low": 0.07, "toxic": 0.03}
 
+TOP_K_SQL = """
+WITH w AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.w, c.w), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM w q JOIN w c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+) WHERE rank <= 5
+"""
+
 
 def _remainder(key: str, parts: int) -> Column:
     """Fold of a row: crc32 of the id as text."""
@@ -44,12 +57,25 @@ def _suffix(t):
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+@query("op7_embedding_near_dedup")
+def _polytope(t):
+    """Vectors of one label with cosine 0.93 or more: links, components, the first of each kept."""
+    return polytope.near_duplicates(t.embeddings, threshold=0.93)
+
+
 @query("op8_sentencepiece")
 def _pieces(t):
     """Piece ids of every document, and whether they decode to its text."""
     return pieces.round_trip(t.documents, pieces.load())
 
 
+@query("op9_exact_top_k", TOP_K_SQL)
+def _top_k(t):
+    """The five highest integer inner products of every fiftieth vector with all others."""
+    found = topk.weights(t.embeddings)
+    return topk.top_k(found.where("vec_id % 50 = 0"), found, k=5)
+
+
 @query("op10_simhash_near_dedup")
 def _simhash(t):
     """Documents by component of 3-word SimHash fingerprints at most 3 bits apart."""
