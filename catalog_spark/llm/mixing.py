@@ -87,7 +87,8 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, doc_id: str = "doc_id", te
     """Learn from the rows of ``labelled`` (doc_id, domain), at most about ``sample`` a domain; None if there are none."""
     chosen = labelled.select(F.col("doc_id").alias("__id"), "domain").where("__id is not null and domain is not null").dropDuplicates(["__id"])
     chosen = bounded_sample(chosen, "domain", sample, F.col("__id"))
-    rows = docs.join(chosen, docs[doc_id] == chosen["__id"]).select("domain", F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"))
+    # the sample is bounded, so the texts need not move to meet it
+    rows = docs.join(F.broadcast(chosen), docs[doc_id] == chosen["__id"]).select("domain", F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
