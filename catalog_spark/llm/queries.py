@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..queries.registry import query
-from . import langid, mixing, pieces, polytope, simhash, suffix, topk
+from . import langid, licences, mixing, pieces, polytope, quality, simhash, suffix, topk, toxicity
 
 #: Wanted shares of the tokens of good, low-quality and toxic documents.
 TARGETS = {"good": 0.90, "low": 0.07, "toxic": 0.03}
@@ -50,6 +50,27 @@ def _language(t):
     return found.select("doc_id", (_remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+@query("op3_quality")
+def _quality(t):
+    """Quality score of every document, learnt from the labels that are not held out."""
+    found = quality.quality(t.documents, t.labels.where(_remainder("doc_id", 4) != 2))
+    return found.select("doc_id", (_remainder("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op4_license_scan")
+def _licences(t):
+    """Licences of every document: of the whole text, and of whole lines."""
+    return licences.scan(t.documents, licences.known_licences(t.spark))
+
+
+@query("op5_toxicity")
+def _toxicity(t):
+    """Toxicity score of every document, learnt from the labels that are not held out."""
+    model = toxicity.fit(t.documents, t.labels.where(_remainder("doc_id", 3) != 1))
+    found = toxicity.score(t.documents.select("doc_id", "text"), model)
+    return found.select("doc_id", (_remainder("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 @query("op6_suffix_array_dedup")
 def _suffix(t):
     """Documents without the bytes of 50-byte strings that an earlier document holds."""
