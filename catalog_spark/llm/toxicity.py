@@ -67,7 +67,7 @@ def _word_scores(bucket_score: np.ndarray, bias: float, data: np.ndarray, at: np
     return np.bincount(word, bucket_score[bucket], len(at)) / np.maximum(1, np.bincount(word, minlength=len(at))) + bias
 
 
-def train(texts: list[bytes], labels: list[int], rounds: int = ROUNDS, seed: int = 5) -> ToxicityModel:
+def train(texts: list[bytes], labels: list[int], rounds: int = ROUNDS, seed: int = 5, damping: float = 1e-5, least_texts: int = 4) -> ToxicityModel:
     """Full-batch Adam on the embeddings and the softmax together; both classes weigh the same."""
     rng = np.random.default_rng(seed)
     size = np.array([len(t) for t in texts])
@@ -83,7 +83,10 @@ def train(texts: list[bytes], labels: list[int], rounds: int = ROUNDS, seed: int
     used = np.flatnonzero(np.diff(np.r_[-1, owner]))  # first pair of each text that has words
     texts_with = owner[used]
     span = np.diff(np.r_[used, len(owner)])
+    # an n-gram of very few texts keeps a zero embedding, or single texts with a wrong label would be learnt by heart
+    met = np.bincount(bucket, np.bincount(which, minlength=len(at))[word], BUCKETS)
     table = rng.normal(0, 0.02, (BUCKETS, WIDTH)).astype(np.float32)
+    table[met < least_texts] = 0
     out, bias = rng.normal(0, 0.5, (WIDTH, 2)), np.zeros(2)
     params = [table, out, bias]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
@@ -97,13 +100,13 @@ def train(texts: list[bytes], labels: list[int], rounds: int = ROUNDS, seed: int
         logit = np.add.reduceat(share * score, used)
         g = (1 / (1 + np.exp(-logit)) - y[texts_with]) * weight[texts_with]
         by_word = np.bincount(which, share * np.repeat(g, span), len(at))
-        by_bucket = np.bincount(bucket, (by_word / grams)[word], BUCKETS).astype(np.float32)
+        by_bucket = np.where(met < least_texts, 0, np.bincount(bucket, (by_word / grams)[word], BUCKETS)).astype(np.float32)
         toward = table.T @ by_bucket
         grads = [by_bucket[:, None] * slope.astype(np.float32), np.stack([-toward, toward], axis=1), np.array([-g.sum(), g.sum()])]
         for p, d, m, v, rate in zip(params, grads, first, second, (0.05, 0.05, 0.05)):
             m += 0.1 * (d - m)
             v += 0.001 * (d * d - v)
-            p -= (rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)).astype(p.dtype)
+            p -= (rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + damping)).astype(p.dtype)
     bucket_score, base = (table @ (out[:, 1] - out[:, 0])).astype(np.float32), float(bias[1] - bias[0])
     mean = np.bincount(word, bucket_score[bucket], len(at)) / grams
     top = np.maximum.reduceat(mean[which] + base, used)
