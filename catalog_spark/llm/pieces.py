@@ -11,13 +11,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from .text import chunks, flat_bytes
+
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
-CACHED_UNITS = 600_000
+CACHED_UNITS = 400_000
 CACHED_LENGTH = 48
+BATCH_BYTES = 1 << 20  # of texts or ids that are turned at once
 UNKNOWN_PENALTY = 10.0  # below the lowest score of a piece
 
 
+_NONE = float("-inf")
+
+
 @dataclass
 class Vocabulary:
     """Pieces with ids and scores, as read from a model file; small enough to travel with every task."""
@@ -76,10 +82,10 @@ def load(model_file: str = MODEL_FILE) -> Vocabulary:
 class StreamingViterbi:
     """Best segmentation of a text that arrives in parts.
 
-    Kept are the starts from which a piece may still grow, at most as many as the longest piece has characters, and the
-    backpointers since the last commit.  Once no piece can grow across the present place every later path runs through
-    it; and while some can, their paths back are followed until they meet.  Ids up to that boundary are final and leave
-    the window.
+    Boundaries are settled from left to right: once all pieces that begin before a boundary have been tried, its best path
+    is known.  The text ahead is needed no further than the longest piece reaches.  Where no piece found so far crosses a
+    boundary, every path runs through it, and the ids up to it are final and leave the window; where pieces keep crossing,
+    the best paths of the surviving boundaries are followed back until they meet, and the ids up to there leave.
     """
 
     def __init__(self, words: Vocabulary):
@@ -87,61 +93,63 @@ class StreamingViterbi:
         self._reset()
 
     def _reset(self) -> None:
-        self.best, self.start, self.piece = [0.0], [0], [-1]  # by boundary since the last commit: score, best last piece
-        self.text: list[str] = []
-        self.open: list[tuple[int, dict]] = []  # starts with a piece that may grow, and what may follow
+        self.text, self.at, self.far = "", 0, 0  # since the last commit: text, next boundary to settle, furthest end of a piece
+        self.best, self.start, self.piece = [0.0], [0], [-1]  # by boundary: score, and start and id of the last piece
         self.check = 4 * self.words.longest
 
-    def feed(self, part: str) -> list[int]:
-        """Take more text; the ids that have become final."""
-        root, unknown, ids = self.trie, self.words.unknown_score, []
-        best, start, piece, text, open_ = self.best, self.start, self.piece, self.text, self.open
-        for c in part:
-            at = len(text)
-            text.append(c)
-            score = came = found = None
-            grown = []
-            for s, nodes in open_:
-                node = nodes.get(c)
-                if node is not None:
-                    more, i, value = node
-                    if i >= 0 and (score is None or best[s] + value > score):
-                        score, came, found = best[s] + value, s, i
-                    if more:
-                        grown.append((s, more))
-            node = root.get(c)
-            if node is None or node[1] < 0:
-                if score is None or best[at] + unknown > score:
-                    score, came, found = best[at] + unknown, at, -1
-            elif score is None or best[at] + node[2] > score:
-                score, came, found = best[at] + node[2], at, node[1]
-            if node is not None and node[0]:
-                grown.append((at, node[0]))
-            best.append(score)
-            start.append(came)
-            piece.append(found)
-            open_ = grown
-            if not grown:
-                ids += self._path(at + 1)
-                best, start, piece, text = [0.0], [0], [-1], []
-                self.best, self.start, self.piece, self.text = best, start, piece, text
-            elif at + 1 >= self.check:
-                self.open = open_
-                ids += self._commit(self._meeting(at + 1))
-                best, start, piece, text, open_ = self.best, self.start, self.piece, self.text, self.open
-        self.open = open_
-        return ids
-
-    def end(self) -> list[int]:
-        """The ids that are left; the search starts anew."""
-        ids = self._path(len(self.text))
-        self._reset()
+    def feed(self, part: str, last: bool = False) -> list[int]:
+        """Take more text; the ids that have become final, all of them if it is the ``last`` part."""
+        text = self.text = self.text + part if self.text else part
+        size, root, unknown, ids = len(text), self.trie, self.words.unknown_score, []
+        best, start, piece, at, far = self.best, self.start, self.piece, self.at, self.far
+        room = size + 1 - len(best)
+        best += [_NONE] * room
+        start += [0] * room
+        piece += [-1] * room
+        done, stop = 0, size if last else size - self.words.longest
+        while at < stop:
+            if far == at > done:
+                ids += self._path(done, at)
+                done = at
+            elif at - done >= self.check:
+                done, found = self._meeting(done, at, far)
+                ids += found
+            score, level, end, alone = best[at], root, at, True
+            while end < size:
+                node = level.get(text[end])
+                if node is None:
+                    break
+                end += 1
+                level, i, value = node
+                if i >= 0:
+                    if end - at == 1:
+                        alone = False
+                    value += score
+                    if value > best[end]:
+                        best[end], start[end], piece[end] = value, at, i
+                    if end > far:
+                        far = end
+            at += 1
+            if alone:  # no piece for the character itself
+                if score + unknown > best[at]:
+                    best[at], start[at], piece[at] = score + unknown, at - 1, -1
+                if at > far:
+                    far = at
+        if last:
+            ids += self._path(done, size)
+            self._reset()
+            return ids
+        # scores count from the last commit on and stay small in a long text
+        base = best[done]
+        self.best = [b - base for b in best[done:]]
+        self.start, self.piece, self.text = [max(0, s - done) for s in start[done:]], piece[done:], text[done:]
+        self.at, self.far = at - done, far - done
         return ids
 
-    def _path(self, at: int) -> list[int]:
-        """Ids of the best path to a boundary."""
+    def _path(self, since: int, at: int) -> list[int]:
+        """Ids of the best path from one boundary to another."""
         ids, start, piece = [], self.start, self.piece
-        while at:
+        while at > since:
             if piece[at] < 0:
                 ids.extend(reversed(self._unknown(self.text[start[at]])))
             else:
@@ -150,25 +158,16 @@ class StreamingViterbi:
         ids.reverse()
         return ids
 
-    def _meeting(self, here: int) -> int:
-        """The last boundary that the best paths to all surviving places share."""
-        alive = {here, *(s for s, _ in self.open)}
+    def _meeting(self, since: int, at: int, far: int) -> tuple[int, list[int]]:
+        """The last boundary that the best paths to all surviving ones share, and the ids up to it."""
+        alive = {b for b in range(at, far + 1) if self.best[b] > _NONE}
         while len(alive) > 1:
             last = max(alive)
             alive.discard(last)
-            alive.add(self.start[last])
-        return alive.pop()
-
-    def _commit(self, boundary: int) -> list[int]:
-        ids = self._path(boundary)
-        base = self.best[boundary]  # scores count from the boundary on and stay small in a long text
-        self.best = [b - base for b in self.best[boundary:]]
-        self.start = [0, *(s - boundary for s in self.start[boundary + 1 :])]
-        self.piece = [-1, *self.piece[boundary + 1 :]]
-        self.text = self.text[boundary:]
-        self.open = [(s - boundary, nodes) for s, nodes in self.open]
-        self.check = len(self.text) + 4 * self.words.longest
-        return ids
+            alive.add(max(since, self.start[last]))
+        meet = alive.pop()
+        self.check = 4 * self.words.longest + at - meet
+        return meet, self._path(since, meet)
 
     def _unknown(self, c: str) -> list[int]:
         if self.words.byte_ids is None:
@@ -182,6 +181,7 @@ class Encoder(dict):
     def __init__(self, words: Vocabulary):
         super().__init__()
         self.words = words
+        self.older: dict[str, bytes] = {}
         self.search = StreamingViterbi(words)
         self.pairs = {pair for piece in words.ids for pair in zip(piece, piece[1:])}
         inner = any(BLANK in piece.lstrip(BLANK) for piece in words.ids)
@@ -190,14 +190,17 @@ class Encoder(dict):
         self.units = re.compile(f"{BLANK}*[^{BLANK}{apart}]+|{BLANK}+" + ("|\n" if apart else "")) if not inner else re.compile("(?s).+")
 
     def __missing__(self, unit: str) -> bytes:
-        pairs = self.pairs
-        cuts = [i for i, pair in enumerate(zip(unit, unit[1:]), 1) if pair not in pairs]  # neighbours that no piece holds together
-        if cuts:
-            packed = b"".join([self[unit[a:b]] for a, b in zip([0, *cuts], [*cuts, len(unit)])])
-        else:
-            packed = array("i", self.search.feed(unit) + self.search.end()).tobytes()
+        packed = self.older.get(unit)
+        if packed is None:
+            pairs = self.pairs
+            cuts = [i for i, pair in enumerate(zip(unit, unit[1:]), 1) if pair not in pairs]  # neighbours that no piece holds together
+            if cuts:
+                packed = b"".join([self[unit[a:b]] for a, b in zip([0, *cuts], [*cuts, len(unit)])])
+            else:
+                packed = array("i", self.search.feed(unit, last=True)).tobytes()
         if len(unit) <= CACHED_LENGTH:
-            if len(self) >= CACHED_UNITS:
+            if len(self) >= CACHED_UNITS:  # what is still in use comes back from the older half
+                self.older = dict(self)
                 self.clear()
             self[unit] = packed
         return packed
@@ -242,13 +245,16 @@ def encode(docs: DataFrame, words: Vocabulary, text: str = "text", ids: str = "i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(sent.id if hasattr(sent, "id") else id(sent), sent.value)
-        for batch in batches:
-            packed = [None if t is None else encoder.encode(t) for t in batch.column(at).to_pylist()]
-            size = np.array([0 if p is None else len(p) // 4 for p in packed])
-            values = np.frombuffer(b"".join(p for p in packed if p), np.int32)
-            mask = pa.array([p is None for p in packed])
-            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)].astype(np.int32)), pa.array(values), mask=mask)
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], schema.names)
+        for whole in batches:
+            _, start, end = flat_bytes(whole.column(at))
+            for part in chunks(start, end, BATCH_BYTES):
+                batch = whole.slice(part.start, part.stop - part.start)
+                packed = [None if t is None else encoder.encode(t) for t in batch.column(at).to_pylist()]
+                size = np.array([0 if p is None else len(p) // 4 for p in packed])
+                values = np.frombuffer(b"".join(p for p in packed if p), np.int32)
+                mask = pa.array([p is None for p in packed])
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)].astype(np.int32)), pa.array(values), mask=mask)
+                yield pa.RecordBatch.from_arrays([*batch.columns, lists], schema.names)
 
     return docs.mapInArrow(run, schema)
 
@@ -263,9 +269,15 @@ def decode(rows: DataFrame, words: Vocabulary, ids: str = "ids", text: str = "de
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = sent.value
-        for batch in batches:
-            texts = [None if x is None else decode_ids(words, x) for x in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], schema.names)
+        for whole in batches:
+            offsets = whole.column(at).offsets.to_numpy()
+            for part in chunks(offsets[:-1], offsets[1:], BATCH_BYTES // 4):
+                batch = whole.slice(part.start, part.stop - part.start)
+                column = batch.column(at)
+                flat, ends, real = column.flatten().to_numpy(), column.offsets.to_numpy(), column.is_valid().to_numpy(zero_copy_only=False)
+                first = ends[0]
+                texts = [decode_ids(words, flat[a - first : b - first].tolist()) if r else None for a, b, r in zip(ends[:-1], ends[1:], real)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], schema.names)
 
     return rows.mapInArrow(run, schema)
 
