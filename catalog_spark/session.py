@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
@@ -123,9 +124,14 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFram
 
 
 def release(spark: SparkSession) -> None:
-    """Ask both sides of the driver to collect garbage, so that Spark drops shuffle files that nothing refers to."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Ask both sides of the driver to collect garbage, so that Spark drops shuffle files that nothing refers to.
+
+    Twice, as what the first round lets go of may hold more; the executors get a moment to delete.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def remove(spark: SparkSession, path: str) -> None:
