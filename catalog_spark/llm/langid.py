@@ -169,7 +169,7 @@ def _pooled(model: LanguageModel, data: np.ndarray, start: np.ndarray, end: np.n
         width = int((b[own] - a[own]).max())
         where = a[own] + np.arange(width)[:, None]
         inside = where < b[own]
-        x = np.where(inside, data[np.minimum(where, len(data) - 1)], PAD).astype(np.intp)
+        x = np.where(inside, data[np.minimum(where, len(data) - 1)].astype(np.intp), PAD)
         ahead, _ = _states(model.table[0], model.loop[0], x, False)
         back, _ = _states(model.table[1], model.loop[1], x[::-1], False)
         p = _position_probabilities(model, ahead, back[::-1])

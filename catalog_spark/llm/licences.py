@@ -81,7 +81,7 @@ def scan(docs: DataFrame, known: DataFrame, doc_id: str = "doc_id", text: str =
     known = known.where(F.col("digest") != empty)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(doc_id, text).alias("row"), canonical(F.col(text), True).alias("body"))
     rows = rows.select("doc_id", "row", "body", F.sha2(F.trim(F.regexp_replace("body", r"\s+", " ")), 256).alias("digest"))
-    lines = rows.select("row", F.explode(F.array_distinct(F.transform(F.split("body", "\n"), F.trim))).alias("line"))
+    lines = rows.select("row", F.explode(F.array_distinct(F.transform(F.split("body", "\n"), lambda line: F.trim(line)))).alias("line"))
     notices = lines.select("row", F.sha2("line", 256).alias("digest")).join(known, "digest").groupBy("row").agg(F.sort_array(F.collect_set("licence")).alias("notices"))
     out = rows.drop("body").join(known, "digest", "left").join(notices, "row", "left")
     return out.select("doc_id", "digest", "licence", F.coalesce("notices", F.array().cast("array<string>")).alias("notices"))
