@@ -64,11 +64,14 @@ def unpivot(df: DataFrame, row_id: str, columns: list[str]) -> DataFrame:
 
 
 def fit_numeric(df: DataFrame, columns) -> NumericScaler:
-    """Medians over all columns in one pass, deviations in another; all-null columns are left out.
+    """Medians over all columns in one pass, deviations in another; all-null columns are left out, infinities refused.
 
     The driver sees two numbers per column.
     """
     numbers = df.select(*as_numbers(df, columns))
+    endless = numbers.agg(*[F.count_if(F.abs(c) == float("inf")).alias(c) for c in columns]).first().asDict() if columns else {}
+    if any(endless.values()):
+        raise ValueError(f"infinite values in {sorted(c for c, n in endless.items() if n)}; remove them before the fit")
     long = numbers.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in columns])))
     medians = {r.feature: r["median"] for r in group_median(long, ["feature"], "value").collect()}
     kept = [c for c in columns if c in medians]

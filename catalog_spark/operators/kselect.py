@@ -10,10 +10,9 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from ..session import materialize
 from . import blocks
 from .cluster import SWEEP_RESTARTS, centers_of, cluster_moments, fit_kmeans, fit_minibatch
-from .summary import min_max_scale, seeded_sample
+from .summary import min_max_scale
 
-# Silhouette sample, score weights and the slack that favours the elbow.
-SILHOUETTE_ROWS = 20_000
+# Score weights and the slack that favours the elbow.
 SILHOUETTE_WEIGHT, CH_WEIGHT = 0.55, 0.45
 ELBOW_GAP, ELBOW_SLACK = 2, 0.98
 EPS = 1e-9
@@ -46,17 +45,56 @@ def metrics_from_moments(moments: DataFrame) -> DataFrame:
     return totals.join(between, "k").select("k", "inertia", ch.alias("calinski_harabasz"))
 
 
-def silhouette(df: DataFrame, row_id: str, vector: str, labels: dict[int, str], sample: int = SILHOUETTE_ROWS, seed: int = 42) -> DataFrame:
-    """(k, silhouette): mean Euclidean silhouette of each partition.
+def silhouette_squared(df: DataFrame, vector: str, labels: dict[int, str]) -> DataFrame:
+    """(k, silhouette): mean silhouette of each partition by squared Euclidean distance, over all rows.
 
-    At most ``sample`` rows take part (the limit belongs to the measure).  They are
-    packed into blocks; every pair of blocks is one small matrix product that
-    serves all partitions at once and leaves sums per row and cluster, not pairs.
+    The mean squared distance of a row to a cluster follows from the cluster's centre and spread, so two passes serve all
+    partitions and nothing grows with the square of the rows.  What reaches the driver is k rows a partition.
+    """
+    ks = list(labels)
+    pairs = F.array(*[F.struct(F.lit(k).alias("k"), F.col(c).cast("int").alias("cluster_id")) for k, c in labels.items()])
+    moments: dict[int, list] = {k: [] for k in ks}
+    for r in cluster_moments(df.select(F.col(vector).alias("__x"), F.inline(pairs)), ["k", "cluster_id"], "__x").collect():
+        moments[r.k].append((r.cluster_id, r.n, r.center, r.within))
+    tables = []
+    for k in ks:
+        own = sorted(moments[k])
+        tables.append(tuple(np.array([m[i] for m in own], dtype=float) for i in range(4)))
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def scores(vectors: pd.Series, clusters: pd.Series) -> pd.Series:
+        if vectors.empty:
+            return pd.Series([], dtype=object)
+        x, own = np.stack(vectors.to_numpy()), np.stack(clusters.to_numpy())
+        out = np.full((len(x), len(tables)), np.nan)
+        for j, (names, n, centers, within) in enumerate(tables):
+            if len(names) < 2:
+                continue
+            mean = blocks.squared_distances(x, centers) + within / n
+            at, rows = np.searchsorted(names, own[:, j]), np.arange(len(x))
+            a = mean[rows, at] * n[at] / np.maximum(1, n[at] - 1)
+            mean[rows, at] = np.inf
+            b = mean.min(axis=1)
+            widest = np.maximum(a, b)
+            out[:, j] = np.where((n[at] > 1) & (widest > 0), (b - a) / np.where(widest > 0, widest, 1), 0.0)
+        return pd.Series(list(out))
+
+    scored = df.select(scores(F.col(vector), F.array(*[F.col(c).cast("int") for c in labels.values()])).alias("s"))
+    sums = scored.agg(*[F.avg(F.nanvl(F.col("s")[j], F.lit(None))).alias(f"s{j}") for j in range(len(ks))])
+    return sums.select(F.inline(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"s{j}").alias("silhouette")) for j, k in enumerate(ks)])))
+
+
+def silhouette(df: DataFrame, row_id: str, vector: str, labels: dict[int, str]) -> DataFrame:
+    """(k, silhouette): mean Euclidean silhouette of each partition, over all rows.
+
+    The rows are packed into blocks; every pair of blocks is one small matrix product that serves all partitions at once
+    and leaves sums per row and cluster, not pairs.  The work grows with the square of the rows, which this distance asks
+    for; ``silhouette_squared`` is the measure for large tables.
     """
     ks = list(labels)
     columns = [labels[k] for k in ks]
     rows = df.select(F.col(row_id).alias("__id"), F.col(vector).alias("__x"), *columns)
-    chosen = materialize(seeded_sample(rows, F.col("__id"), sample, seed), "silhouette")
+    chosen = materialize(rows, "silhouette")
     n = max(1, -(-chosen.count() // blocks.BLOCK_ROWS))
     packed = materialize(blocks.pack_sample(chosen, "__id", "__x", columns, n), "blocks")
     other = packed.select(*[F.col(c).alias(f"o_{c}") for c in packed.columns])
@@ -124,11 +162,8 @@ def elbow_k(metrics: DataFrame, k: str = "k", inertia: str = "inertia") -> DataF
     x1, y1 = F.first("x").over(along), F.first("y").over(along)
     x2, y2 = F.last("x").over(along), F.last("y").over(along)
     dx, dy = x2 - x1, y2 - y1
-    length = F.sqrt(dx * dx + dy * dy) + EPS
-    # Residual after projecting on the (unit) chord direction.
-    t = ((F.col("x") - x1) * dx + (F.col("y") - y1) * dy) / length
-    rx, ry = F.col("x") - x1 - t * dx / length, F.col("y") - y1 - t * dy / length
-    scored = points.withColumn("off", F.sqrt(rx * rx + ry * ry))
+    # The cross product with the chord is the distance from it times its length, which is the same for all points.
+    scored = points.withColumn("off", F.abs((F.col("x") - x1) * dy - (F.col("y") - y1) * dx))
     by = F.when(F.col("points") < 3, F.col("inertia")).otherwise(F.col("off"))
     return scored.withColumn("by", by).agg(F.min_by("k", F.struct(-F.col("by"), F.col("k"))).alias("inertia_elbow_k"))
 
@@ -191,12 +226,12 @@ def sweep(
     restarts: int = SWEEP_RESTARTS,
     seed: int = 42,
     minibatch: bool = False,
-    sample: int = SILHOUETTE_ROWS,
 ) -> DataFrame:
     """Metric table over K.  ``df`` holds a vector column; cache it before the call.
 
     Each K is fitted by Spark jobs on the cached vectors; then one pass gives
-    inertia and Calinski-Harabasz of all K, and one the silhouettes of all K.
+    inertia and Calinski-Harabasz of all K, and two the silhouettes of all K, by
+    squared distance and over every row.
     """
     if k_min < 2 or k_max < k_min:
         raise ValueError("need 2 <= k_min <= k_max")
@@ -210,5 +245,5 @@ def sweep(
     assigned = rows.withColumn("__a", assign_all(models)("__x"))
     labels = {k: f"__k{k}" for k in models}
     wide = materialize(assigned.select(row_id, "__x", *[F.col("__a")[i].alias(c) for i, c in enumerate(labels.values())]), "sweep")
-    table = partition_metrics(wide, labels, "__x").join(silhouette(wide, row_id, "__x", labels, sample, seed), "k", "left")
+    table = partition_metrics(wide, labels, "__x").join(silhouette_squared(wide, "__x", labels), "k", "left")
     return score_table(materialize(table.select("k", "inertia", "silhouette", "calinski_harabasz"), "k_metrics"))

@@ -24,12 +24,12 @@ def group_quantile(
 
     A sketch (bounded memory, combined map-side) brackets the wanted ranks; a
     second pass counts what lies below the bracket and ranks only the few values
-    inside it, so the answer is exact.  Null and NaN are not counted; a group
-    without values has no row.  ``approximate=True`` stops after the sketch.
+    inside it, so the answer is exact.  Null, NaN and text that is no number are not
+    counted; a group without values has no row.  ``approximate=True`` stops after the sketch.
     """
     keys = list(keys)
     group = keys or ["__all"]
-    x = df.select(*keys, F.col(value).cast("double").alias("__x"))
+    x = df.select(*keys, F.col(value).try_cast("double").alias("__x"))
     if not keys:
         x = x.withColumn("__all", F.lit(1))
     x = x.where(F.col("__x").isNotNull() & ~F.isnan("__x"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .skew import hot_key_join, lookup_join
@@ -66,25 +68,23 @@ def with_provenance(df: DataFrame, values: dict[str, Column], payload_wins: bool
     return df.withColumns({k: v for k, v in values.items() if not (payload_wins and k in df.columns)})
 
 
-# Offsets of the page plan: steps of one page up to the last offset served.
-PAGE_STEP = 24
-LAST_OFFSET = 1199
-
-
-def worklist(stores: DataFrame, categories: DataFrame, slots: int = 64) -> DataFrame:
+def worklist(stores: DataFrame, categories: DataFrame) -> DataFrame:
     """Every store with every category.
 
-    The product is wanted in full.  Stores are replicated over ``slots`` and each
-    category belongs to one slot, so it runs as a balanced equi-join: no nested
-    loop, no broadcast, and no task holds more than one slot of categories.
+    The product is wanted in full.  Each side is dealt into as many parts as give four
+    pairs of parts for each shuffle partition, and goes to every part of the other side:
+    an equi-join on (store part, category part) whose keys grow with the partitions, with
+    no nested loop and no broadcast of unknown size.
     """
-    slot = F.pmod(F.xxhash64(*categories.columns), F.lit(slots)).cast("int")
-    placed = categories.withColumn("__slot", slot)
-    spread = stores.withColumn("__slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
-    return spread.join(placed, "__slot").drop("__slot")
+    parts = math.ceil(math.sqrt(4 * int(stores.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    part = lambda df: F.pmod(F.xxhash64(*df.columns), F.lit(parts)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    left = stores.withColumn("__a", part(stores)).withColumn("__b", every)
+    right = categories.withColumn("__b", part(categories)).withColumn("__a", every)
+    return left.join(right, ["__a", "__b"]).drop("__a", "__b")
 
 
-def page_plan(work: DataFrame, step: int = PAGE_STEP, last: int = LAST_OFFSET) -> DataFrame:
+def page_plan(work: DataFrame, step: int, last: int) -> DataFrame:
     """One row per page: a finite offset sequence for each work item."""
     return work.withColumn("offset", F.explode(F.sequence(F.lit(0), F.lit(last), F.lit(step))))
 

@@ -75,19 +75,13 @@ def head(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-# Up to this many rows, a sorted limit keeps its candidates in one task.
-SORTED_LIMIT = 100_000
-
-
-def seeded_sample(df: DataFrame, key: Column, n: int, seed: int = 42, sorted_limit: int = SORTED_LIMIT) -> DataFrame:
+def seeded_sample(df: DataFrame, key: Column, n: int, seed: int = 42) -> DataFrame:
     """Exactly ``n`` rows (all if there are fewer), the same for the same seed: the smallest digests of the key.
 
-    For a large ``n`` the cut is found by counting digest prefixes; only the rows
-    that share the prefix at the cut are ordered.
+    The cut is found by counting digest prefixes; only the rows that share the
+    prefix at the cut are ordered.
     """
     digest = F.md5(F.concat(key.cast("string"), F.lit(f":{seed}")))
-    if n <= sorted_limit:
-        return df.orderBy(digest, key).limit(n)
     marked = df.withColumns({"__digest": digest, "__key": key, "__prefix": F.substring(digest, 1, 4)})
     upto = Window.orderBy("__prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # at most 65,536 rows
     sizes = marked.groupBy("__prefix").agg(F.count("*").alias("__n")).withColumn("__upto", F.sum("__n").over(upto))

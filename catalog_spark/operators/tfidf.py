@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.text import bigrams, fold_accents, tokens, words
 from ..session import materialize
+from .summary import rank_rows
 
-# Vocabulary limit and least document frequency used when none are given.
-MAX_FEATURES = 12_000
+# Fixed value: least document frequency used when none is given.
 MIN_DF = 3
 
 
@@ -40,7 +40,7 @@ def term_counts(df: DataFrame, row_id: str, text: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class TfIdf:
-    """Vocabulary table (position, term, df, idf) of at most ``max_features`` rows, and the fitted rows' number."""
+    """Vocabulary table (position, term, df, idf), and the fitted rows' number."""
 
     vocabulary: DataFrame
     documents: int
@@ -51,10 +51,10 @@ class TfIdf:
     def long(self, counts: DataFrame, row_id: str) -> DataFrame:
         """(row_id, term, weight): tf x idf, rows scaled to unit length.
 
-        The vocabulary is bounded by ``max_features``, hence safe to broadcast, and
-        a row has at most that many terms, hence the window per row is small.
+        The vocabulary is a written table, so Spark knows its size and broadcasts it
+        only if it is small.  The window per row holds the terms of one text.
         """
-        raw = counts.join(F.broadcast(self.vocabulary), "term").withColumn("__w", F.col("tf") * F.col("idf"))
+        raw = counts.join(self.vocabulary, "term").withColumn("__w", F.col("tf") * F.col("idf"))
         norm = F.sqrt(F.sum(F.col("__w") * F.col("__w")).over(Window.partitionBy(row_id)))
         return raw.select(row_id, "term", "position", (F.col("__w") / norm).alias("weight"))
 
@@ -74,12 +74,15 @@ def document_threshold(min_df: int | float, documents: int) -> int:
     return math.ceil(min_df * documents) if isinstance(min_df, float) else min_df
 
 
-def fit_tfidf(counts: DataFrame, documents: int, min_df: int | float = MIN_DF, max_features: int = MAX_FEATURES) -> TfIdf:
-    """Keep terms in enough documents, then the most frequent ones (ties by term), in term order."""
+def fit_tfidf(counts: DataFrame, documents: int, min_df: int | float = MIN_DF, max_features: int | None = None) -> TfIdf:
+    """Keep terms in enough documents, in term order; with ``max_features``, the most frequent of them (ties by term).
+
+    The vector form needs a width, which the caller states; the long form needs none.
+    """
     stats = counts.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("total"))
     kept = stats.where(F.col("df") >= document_threshold(min_df, documents))
-    kept = kept.orderBy(F.col("total").desc(), "term").limit(max_features)
+    if max_features is not None:
+        kept = kept.orderBy(F.col("total").desc(), "term").limit(max_features)
     idf = F.ln(F.lit(1.0 + documents) / (F.col("df") + 1)) + 1.0
-    # At most max_features rows, so numbering them in one task is bounded.
-    position = F.row_number().over(Window.orderBy("term")) - 1
-    return TfIdf(materialize(kept.select(position.alias("position"), "term", "df", idf.alias("idf")), "vocabulary"), documents)
+    numbered = rank_rows(kept.select("term", "df", idf.alias("idf")), [F.col("term")], "position")
+    return TfIdf(materialize(numbered.select((F.col("position") - 1).cast("int").alias("position"), "term", "df", "idf"), "vocabulary"), documents)

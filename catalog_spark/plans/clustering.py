@@ -32,7 +32,7 @@ class ClusterOptions:
     categorical: str | None = None
     text: str | None = None
     text_mode: str = "tfidf"  # or "encoder", or "none"
-    max_features: int = tfidf.MAX_FEATURES
+    max_features: int = 12_000  # width of the text block
     min_df: int | float = tfidf.MIN_DF
     svd_dimensions: int = project.SVD_DIMENSIONS
     minibatch: bool = False

@@ -80,10 +80,10 @@ def listed_items(pages: DataFrame, max_per_category: int | None = None, line: st
     return items
 
 
-def open_pages(stores: DataFrame, categories: DataFrame) -> DataFrame:
-    """Pages to ask for: every store, every category with an id, every offset."""
+def open_pages(stores: DataFrame, categories: DataFrame, step: int, last: int) -> DataFrame:
+    """Pages to ask for: every store, every category with an id, every offset from 0 to ``last`` in steps of a page."""
     wanted = relate.drop_blank_keys(categories.select(F.col("data_id").alias("category_id"), "url_path"), ["category_id"])
-    return relate.page_plan(relate.worklist(stores.select("store_id"), wanted.distinct()))
+    return relate.page_plan(relate.worklist(stores.select("store_id"), wanted.distinct()), step, last)
 
 
 def open_items(items: DataFrame, spark: SparkSession, path: str) -> DataFrame:

@@ -86,6 +86,16 @@ def silhouette_euclidean(t):
     return found.select(F.round("silhouette", 6).alias("silhouette"))
 
 
+SQUARED = """v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+pairs AS (SELECT a.vec_id AS id, a.label AS own, b.label AS label, list_distance(a.e, b.e) ** 2 AS d FROM v a JOIN v b ON a.vec_id <> b.vec_id)"""
+
+
+@query("silhouette_squared", f"WITH {SQUARED}, {SILHOUETTE} SELECT round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM ab")
+def silhouette_squared(t):
+    found = kselect.silhouette_squared(fx.vectors(t), "vector", {10: "cluster_id"})
+    return found.select(F.round("silhouette", 6).alias("silhouette"))
+
+
 @query(
     "calinski_harabasz",
     f"""WITH {fx.DUCK_VECTORS}, sizes AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label), mean AS (SELECT p, avg(x) AS m FROM elements GROUP BY p),

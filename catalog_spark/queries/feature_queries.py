@@ -159,7 +159,7 @@ def terms_sql(table: str, row_id: str) -> str:
 
 VOCABULARY = f"""counts AS ({terms_sql('documents', 'doc_id')}),
 vocabulary AS (SELECT term, df, ln((1 + (SELECT count(*) FROM documents)) / (1 + df)) + 1 AS idf FROM (
-  SELECT term, count(*) AS df, sum(tf) AS total FROM counts GROUP BY term HAVING count(*) >= 3 ORDER BY total DESC, term LIMIT 12000))"""
+  SELECT term, count(*) AS df, sum(tf) AS total FROM counts GROUP BY term HAVING count(*) >= 3))"""
 
 
 @query(

@@ -121,7 +121,7 @@ def worklist_cross_join(t):
     categories = t.part.select(F.col("p_type").alias("category")).distinct()
     collected = slices(t).groupBy("store_id", "category").count().where("count >= 100")
     work = relate.unseen(relate.worklist(stores, categories), collected, ["store_id", "category"])
-    return relate.page_plan(work).groupBy("store_id", "category").agg(
+    return relate.page_plan(work, step=24, last=1199).groupBy("store_id", "category").agg(
         F.count("*").alias("n_pages"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset")
     )
 

@@ -106,6 +106,7 @@ def _read_panel(page: str, default_header: list[str]):
     ]
 
 
+MOST_HEADERS = 1_000
 PANEL_ROWS = T.ArrayType(
     T.StructType(
         [
@@ -135,8 +136,17 @@ def panel_items(pages: DataFrame, page_id: str = "page_id", html: str = "html",
 
 
 def panel_table(pages: DataFrame, columns: list[str] | None = None, **options) -> DataFrame:
-    """The cells of ``panel_items`` as named string columns."""
+    """The cells of ``panel_items`` as string columns named by the pages' own headers.
+
+    ``columns`` names them where a page has no header.  Pages with several headers give all their columns, '' where a
+    page lacks one; of equal names in one header the first counts.
+    """
     names = columns or ZIP_HEADER
     items = panel_items(pages, default_header=names, **options)
     page_id = items.columns[0]
-    return items.select(page_id, "pos", *[F.coalesce(F.get("cells", F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)])
+    headers = items.groupBy("header").agg(F.min(page_id).alias("first")).orderBy("first", "header").limit(MOST_HEADERS + 1).collect()
+    if len(headers) > MOST_HEADERS:
+        raise ValueError(f"over {MOST_HEADERS} different headers")
+    found = list(dict.fromkeys(n for r in headers for n in r.header)) or names
+    cell = lambda n: F.coalesce(F.get("cells", (F.array_position("header", F.lit(n)) - 1).cast("int")), F.lit(""))
+    return items.select(page_id, "pos", *[F.when(F.array_contains("header", F.lit(n)), cell(n)).otherwise("").alias(n) for n in found])

@@ -19,9 +19,9 @@ def write_state(spark: SparkSession, path: str, batch: int, centers: np.ndarray,
 
 def read_state(spark: SparkSession, path: str, before: int | None = None):
     """Centres and weights after the last batch (before batch ``before`` if given): k rows."""
+    if before is not None:  # batches are numbered without gaps
+        path = f"{path}/batch={before - 1:012d}"
     state = spark.read.schema(STATE).option("recursiveFileLookup", "true").parquet(path)
-    if before is not None:
-        state = state.where(F.col("batch") < before)
     last = state.agg(F.max("batch")).scalar()
     rows = state.where(F.col("batch") == last).orderBy("cluster_id").collect()
     return np.array([r.center for r in rows], dtype=float), np.array([r.weight for r in rows], dtype=float)
@@ -50,11 +50,16 @@ def track_centroids(
         rows = batch.select(F.col(row_id), as_double(F.col(vector)).alias("__x")).persist()
         try:
             session = batch.sparkSession
-            if number == 0:
-                centers = initial_centers(rows, k, F.col(row_id), "__x", seed)
-                weights = np.zeros(len(centers))
-            else:
-                centers, weights = read_state(session, state, before=number)
+            centers, weights = (np.zeros((0, 0)), np.zeros(0)) if number == 0 else read_state(session, state, before=number)
+            if len(centers) < k:  # the batches so far had too few different rows
+                known = [[float(x) for x in c] for c in centers]
+                fresh = rows.where(~F.col("__x").isin(known)) if known else rows
+                fresh = fresh.groupBy("__x").agg(F.min(row_id).alias(row_id))
+                more = initial_centers(fresh, k - len(centers), F.col(row_id), "__x", seed)
+                centers = np.vstack([centers, more]) if known and len(more) else (centers if known else more)
+                weights = np.r_[weights, np.zeros(len(centers) - len(weights))]
+            if not len(centers):
+                return
             centers, weights = batch_update(centers, weights, rows, "__x", decay)
             write_state(session, state, number, centers, weights)
         finally:

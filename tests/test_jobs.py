@@ -51,7 +51,7 @@ def test_collection(spark, rows, tmp_path):
 
 def test_open_pages(rows):
     cats = rows([("a", "/x"), ("", "/y")], "data_id string, url_path string")
-    assert collection.open_pages(rows([("1",), ("2",)], "store_id string"), cats).count() == 2 * 50
+    assert collection.open_pages(rows([("1",), ("2",)], "store_id string"), cats, 24, 1199).count() == 2 * 50
 
 
 def test_listing_job(spark, rows, tmp_path):

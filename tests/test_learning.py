@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
 from pyspark.ml.functions import array_to_vector, vector_to_array
 
 from catalog_spark.operators import cluster, features, kselect, neighbors, project, tfidf
@@ -96,22 +97,33 @@ def test_metrics_equal_formulas(spark, monkeypatch):
     assert row.inertia == pytest.approx(within) and row.calinski_harabasz == pytest.approx((between / 3) / (within / 96))
 
 
-def elbow(ks, inertias):
-    x, y = np.array(ks, float), np.array(inertias, float)
-    if len(x) < 3:
-        return ks[int(y.argmax())]
-    xn, yn = (x - x.min()) / (x.max() - x.min() + 1e-9), (y - y.min()) / (y.max() - y.min() + 1e-9)
-    v = np.array([xn[-1] - xn[0], yn[-1] - yn[0]])
-    v /= np.linalg.norm(v) + 1e-9
-    off = [np.linalg.norm((p := np.array([a - xn[0], b - yn[0]])) - (p @ v) * v) for a, b in zip(xn, yn)]
-    return ks[int(np.argmax(off))]
+# Worked out by hand: fewer than three points take the largest inertia; of (0, 1), (.25, .318), (.5, .091), (.75, .034), (1, 0)
+# the sums x + y are 1, .568, .591, .784, 1, so the second is farthest below the line x + y = 1; a flat curve lies on its
+# chord, so the first counts; the last drops at once, to x + y = .2 + .091.
+@pytest.mark.parametrize("inertias, want", [([9.0, 4.0], 2), ([100.0, 40.0, 20.0, 15.0, 12.0], 3), ([5.0, 5.0, 5.0], 2), ([50.0, 10.0, 9.0, 8.0, 7.0, 6.0], 3)])
+def test_elbow(rows, inertias, want):
+    df = rows(list(zip(range(2, 2 + len(inertias)), inertias)), "k int, inertia double")
+    assert kselect.elbow_k(df).first().inertia_elbow_k == want
 
 
-@pytest.mark.parametrize("inertias", [[9.0, 4.0], [100.0, 40.0, 20.0, 15.0, 12.0], [5.0, 5.0, 5.0], [50.0, 10.0, 9.0, 8.0, 7.0, 6.0]])
-def test_elbow(rows, inertias):
-    ks = list(range(2, 2 + len(inertias)))
-    df = rows(list(zip(ks, inertias)), "k int, inertia double")
-    assert kselect.elbow_k(df).first().inertia_elbow_k == elbow(ks, inertias)
+def test_squared_silhouette(spark):
+    x = rng.normal(size=(60, 3))
+    labels = rng.integers(0, 3, 60)
+    labels[0] = 7  # alone: scores 0
+    d = ((x[:, None] - x[None]) ** 2).sum(-1)
+    scores = []
+    for i, own in enumerate(labels):
+        same = (labels == own) & (np.arange(60) != i)
+        b = min(d[i, labels == c].mean() for c in set(labels) - {own})
+        scores.append((b - d[i, same].mean()) / max(b, d[i, same].mean()) if same.any() else 0.0)
+    df = vectors(spark, x, labels).withColumn("one", F.lit(1))
+    got = {r.k: r.silhouette for r in kselect.silhouette_squared(df, "v", {4: "c", 1: "one"}).collect()}
+    assert got[4] == pytest.approx(np.mean(scores)) and got[1] is None
+
+
+def test_infinities_stop_the_fit(rows):
+    with pytest.raises(ValueError, match="infinite values in .*'b'"):
+        features.fit_numeric(rows([(1.0, 1.0), (2.0, float("inf"))], "a double, b double"), ["a", "b"])
 
 
 @pytest.mark.parametrize(

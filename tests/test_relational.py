@@ -23,9 +23,9 @@ def test_dedup_is_idempotent_and_load_is_distinct_union(spark, pairs):
 
 def test_worklist_is_the_whole_product(rows):
     stores, cats = rows([(i,) for i in range(7)], "s int"), rows([(f"c{i}",) for i in range(11)], "c string")
-    work = relate.worklist(stores, cats, slots=4)
+    work = relate.worklist(stores, cats)
     assert work.distinct().count() == 77 == work.count()
-    offsets = [r.offset for r in relate.page_plan(work).where("s = 0 and c = 'c1'").orderBy("offset").collect()]
+    offsets = [r.offset for r in relate.page_plan(work, 24, 1199).where("s = 0 and c = 'c1'").orderBy("offset").collect()]
     assert offsets == list(range(0, 1200, 24))
 
 
@@ -107,7 +107,7 @@ def test_seeded_sample(rows):
     pick = lambda seed, n=10: sorted(r.i for r in summary.seeded_sample(df, F.col("i"), n, seed).collect())
     assert pick(1) == pick(1) != pick(2) and len(pick(1)) == 10 and len(pick(1, 1000)) == 100
     for n in (1, 40, 99, 100, 200):
-        counted = summary.seeded_sample(df, F.col("i"), n, 1, sorted_limit=0)
+        counted = summary.seeded_sample(df, F.col("i"), n, 1)
         assert sorted(r.i for r in counted.collect()) == pick(1, n)
 
 
