@@ -23,8 +23,8 @@ def detect_json_columns(df: DataFrame, columns: list[str] | None = None) -> Data
     return wide.select(F.inline(pairs))
 
 
-def json_columns(df: DataFrame) -> list[str]:
-    return [r.column_name for r in detect_json_columns(df).collect() if r.is_json]
+def json_columns(df: DataFrame, columns: list[str] | None = None) -> list[str]:
+    return [r.column_name for r in detect_json_columns(df, columns).collect() if r.is_json]
 
 
 def _literal_to_json(text: str):

@@ -242,8 +242,13 @@ def feature_dictionary(num_names: list[str], categories: CategoryEncoder | None,
 
 
 def join_embeddings(df: DataFrame, vectors: DataFrame, row_id: str, vector: str = "embedding") -> DataFrame:
-    """Precomputed embeddings onto their rows."""
-    return df.join(vectors.select(row_id, as_double(F.col(vector)).alias(vector)), row_id)
+    """Precomputed embeddings onto their rows; a row without one keeps NULL there (see ``missing_embeddings``)."""
+    return df.join(vectors.select(row_id, as_double(F.col(vector)).alias(vector)), row_id, "left")
+
+
+def missing_embeddings(df: DataFrame, vector: str = "embedding") -> int:
+    """Rows that have no embedding."""
+    return df.where(F.col(vector).isNull()).count()
 
 
 def encode_text(df: DataFrame, text: str, encoder, output: str = "embedding", batch: int = 256) -> DataFrame:

@@ -23,7 +23,7 @@ def column_name(path: tuple[str, ...]) -> str:
 
 
 def json_path(path: tuple[str, ...]) -> str:
-    return "$" + "".join(f"['{part}']" for part in path)
+    return "$" + "".join(f'["{part}"]' if "'" in part else f"['{part}']" for part in path)
 
 
 @dataclass(frozen=True)
@@ -164,7 +164,10 @@ def flatten_json(docs: DataFrame, text: str, keep_columns: list[str] | None = No
         elif leaf.mixed:
             v = F.variant_get("__v", json_path(leaf.path), "variant")
             plain = ~F.schema_of_variant(v).startswith("OBJECT")
-            pairs.append((column_name(leaf.path), F.when(plain, F.get_json_object(text, json_path(leaf.path)))))
+            written = F.get_json_object(text, json_path(leaf.path))
+            if any("'" in part for part in leaf.path):  # which the other function's paths cannot name
+                written = F.when(F.schema_of_variant(v).startswith("ARRAY"), F.to_json(v)).otherwise(F.variant_get(v, "$", "string"))
+            pairs.append((column_name(leaf.path), F.when(plain, written)))
         else:
             value = F.col("__doc")
             for part in leaf.path:

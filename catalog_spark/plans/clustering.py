@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import spec
 from ..functions.text import corpus
-from ..operators import cluster, features, kselect, neighbors, profile, project, relate, summary, tfidf
+from ..operators import cluster, embedded, features, kselect, neighbors, profile, project, relate, summary, tfidf
 from ..session import materialize, ship_package
 from ..sources.sinks import write_enriched, write_if_wanted
 from .cleaning import add_price_band, clean_products
@@ -61,6 +61,14 @@ def numbered(df: DataFrame) -> DataFrame:
     return materialize(df.withColumn("row_id", F.monotonically_increasing_id()), "rows")
 
 
+def with_parsed_text(df: DataFrame, columns) -> DataFrame:
+    """Add the parsed form of the text columns that hold JSON or Python literals; plain text in them stays as it is."""
+    strings = {c for c, t in df.dtypes if t == "string"}
+    names = [c for c in columns if c in strings and spec.parsed(c) not in df.columns]
+    found = embedded.json_columns(df, names) if names else []
+    return df.withColumns({spec.parsed(c): F.coalesce(embedded.json_text(F.col(c)), F.col(c)) for c in found})
+
+
 def text_block(df: DataFrame, columns: tuple[str, ...], options: ClusterOptions, encoder=None):
     """(row_id, txt_features) as ARRAY<DOUBLE> or vector, and the term table of the block."""
     texts = df.select("row_id", corpus([F.col(c).cast("string") for c in columns]).alias("__text"))
@@ -123,7 +131,7 @@ def cluster_products(raw: DataFrame, options: ClusterOptions = ClusterOptions(),
     if options.sample:
         keys = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in raw.columns]
         raw = summary.seeded_sample(raw, F.concat_ws("|", *keys), options.sample, options.seed)
-    df = numbered(clean_products(raw))
+    df = numbered(with_parsed_text(clean_products(raw), options.text.split("|") if options.text else spec.TEXT_COLUMNS))
     found = spec.FeatureSpec.from_options(options.numeric, options.categorical, options.text, options.weights).resolve(df)
     checked = [*found.numeric, *found.categorical]
     numbers = df.select("row_id", *features.as_numbers(df, found.numeric))
@@ -140,7 +148,7 @@ def cluster_products(raw: DataFrame, options: ClusterOptions = ClusterOptions(),
             )
             k = kselect.choose_k(metrics).first().chosen_k
         if options.minibatch:
-            centers = cluster.fit_minibatch(vectors, k, "row_id", seed=options.seed)
+            centers = cluster.fit_minibatch(vectors, k, "row_id", seed=options.seed, restarts=options.final_restarts)
         else:
             centers = cluster.centers_of(cluster.fit_kmeans(vectors, k, restarts=options.final_restarts, seed=options.seed))
         enriched = diagnose(df, vectors, centers, options)

@@ -174,7 +174,7 @@ def feature_rows(t):
 def kmeans_assign(t):
     rows = materialize(fx.vectors(t).select("vec_id", "vector"), "vectors").withColumn("features", array_to_vector("vector")).persist()
     try:
-        model = cluster.fit_kmeans(rows, 10, restarts=2)
+        model = cluster.fit_kmeans(rows, 10)
     finally:
         rows.unpersist()
     return model.transform(rows).select("vec_id", "cluster_id")

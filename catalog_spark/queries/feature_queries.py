@@ -196,7 +196,7 @@ def tfidf_apply(t):
 @query(
     "embedding_block_join",
     """SELECT doc_id, lang, len(embedding) AS dims, round(list_sum(CAST(embedding AS DOUBLE[])), 5) AS total
-    FROM documents JOIN embeddings ON vec_id = doc_id""",
+    FROM documents LEFT JOIN embeddings ON vec_id = doc_id""",
 )
 def embedding_block_join(t):
     vectors = t.embeddings.select(F.col("vec_id").alias("doc_id"), "embedding")

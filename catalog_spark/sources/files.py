@@ -15,6 +15,8 @@ NA_TEXTS = [
 CATEGORY_HEADER = ["name", "slug", "url_path", "full_url", "n_code", "data_id", "number_of_children"]
 ZIP_HEADER = ["ZIP Code", "Type", "Common Cities", "County", "Area Codes"]
 
+# A NaN or Infinity where a JSON value stands.
+BARE_NUMBER = r"([:\[,]\s*)-?(?:NaN|Infinity)(?=\s*[,}\]])"
 BIGINT_TEXT = r"^[+-]?\d{1,18}$"
 
 
@@ -26,14 +28,18 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """(line, doc, status): status is ``ok`` or ``malformed``; blank lines are left out."""
+    """(line, doc, status): status is ``ok`` or ``malformed``; blank lines are left out.
+
+    A document that only fails for bare NaN or Infinity values is read with null in their place; in such a document the
+    same is done inside strings that look alike (a colon, comma or bracket, the token, and another of these).
+    """
     text = strip_space(F.col(column))
+    rows = lines.select(text.alias("line")).where(F.col("line") != "")
+    suspect = F.col("line").rlike(BARE_NUMBER) & F.try_parse_json("line").isNull()
+    mended = F.regexp_replace("line", BARE_NUMBER, "$1null")
+    rows = rows.select(F.when(suspect & F.try_parse_json(mended).isNotNull(), mended).otherwise(F.col("line")).alias("line"))
     doc = F.try_parse_json("line")
-    return (
-        lines.select(text.alias("line"))
-        .where(F.col("line") != "")
-        .select("line", doc.alias("doc"), F.when(doc.isNotNull(), "ok").otherwise("malformed").alias("status"))
-    )
+    return rows.select("line", doc.alias("doc"), F.when(doc.isNotNull(), "ok").otherwise("malformed").alias("status"))
 
 
 def read_jsonl(spark: SparkSession, path: str, keep_malformed: bool = False) -> DataFrame:

@@ -162,3 +162,15 @@ def test_panel_reader(rows):
     got = [(r.page_id, r.pos, r.header, r.cells) for r in listing.panel_items(df).orderBy("page_id", "pos").collect()]
     assert got[0] == (1, 0, ["Z", "T & U", "C"], ["55401", "", "a b"])
     assert [g[:2] for g in got[1:]] == [(2, 0), (2, 1)] and got[1][2] == files.ZIP_HEADER and got[1][3] == ["x", "", "a b", "", ""]
+
+
+def test_apostrophe_in_a_mixed_key(rows):
+    df = rows([('{"it\'s": {"b": 1}}',), ('{"it\'s": "x"}',), ('{"it\'s": [1, null]}',)], "j string")
+    got = flatten.flatten_json(df, "j")
+    assert got.columns == ["it's", "it's-b"] and [tuple(r) for r in got.collect()] == [(None, 1), ("x", None), ("[1,null]", None)]
+
+
+def test_bare_nan_is_null(rows):
+    lines = rows([('{"a": NaN, "k": 1}',), ('{"a": [1, -Infinity], "s": "x: NaN, y"}',), ('{"a": NaN',), ('{"s": ": NaN, "}',)], "value string")
+    got = [(r.line, r.status) for r in files.parse_lines(lines).collect()]
+    assert got == [('{"a": null, "k": 1}', "ok"), ('{"a": [1, null], "s": "x: null, y"}', "ok"), ('{"a": NaN', "malformed"), ('{"s": ": NaN, "}', "ok")]
