@@ -14,6 +14,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1_000
 _local_fallback: list[str] = []
 _shipped_to: set[str] = set()
 
@@ -43,7 +45,12 @@ def build_session(app: str = "catalog_spark", master: str | None = None, **conf:
 
 
 def ship_package(spark: SparkSession) -> SparkSession:
-    """Send this package to the Python workers of the session, once per application."""
+    """Send this package to the Python workers of the session, once per application.
+
+    Arrow batches are bounded at ``BATCH_ROWS`` unless the session says otherwise: rows may hold long texts.
+    """
+    if spark.conf.get(BATCH_KEY) == "10000":  # the default
+        spark.conf.set(BATCH_KEY, str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app not in _shipped_to:
         root = Path(__file__).resolve().parent
