@@ -9,6 +9,8 @@ from ..operators.flatten import first_filled
 from ..operators.relate import drop_blank_keys
 from ..sources.files import parse_lines
 
+# Keys are kept on the executors' disks, not in their heaps.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STORE_PATHS = [("_store_id",), ("store_id",)]
 ITEM_PATHS = [("_tcin",), ("tcin",), ("data", "product", "tcin")]
 
@@ -39,6 +41,7 @@ def ingest_new(
     for good, as a re-delivered document may be of any age; ``watermark`` bounds
     them at the price of forgetting keys older than that.
     """
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     reader = spark.readStream.format("text")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
