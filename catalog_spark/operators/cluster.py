@@ -118,25 +118,54 @@ def fit_minibatch(df: DataFrame, k: int, row_id: str, vector: str = "vector", ba
     """Mini-batch k-means over hash-split batches.
 
     The batches are written as folders of one table, so that an epoch reads every
-    row once.
+    row once, for all restarts together.
     """
     slot = F.pmod(F.xxhash64(F.col(row_id), F.lit(seed)), F.lit(batches)).cast("int")
     folder = work_folder(df.sparkSession, "batches")
     df.select(row_id, vector, slot.alias("__slot")).write.partitionBy("__slot").parquet(folder)
     df = df.sparkSession.read.parquet(folder)
-    best, best_cost = None, None
-    for r in range(restarts):
-        centers = initial_centers(df, k, F.col(row_id), vector, seed + r)
-        weights = np.zeros(len(centers))
-        for _ in range(epochs):
-            for b in range(batches):
-                centers, weights = batch_update(centers, weights, df.where(F.col("__slot") == b), vector)
-        if restarts == 1:
-            return centers
-        cost = inertia(df, centers, vector)
-        if best_cost is None or cost < best_cost:
-            best, best_cost = centers, cost
-    return best
+    runs = [initial_centers(df, k, F.col(row_id), vector, seed + r) for r in range(restarts)]
+    weights = [np.zeros(len(c)) for c in runs]
+    for _ in range(epochs):
+        for b in range(batches):
+            _update_all(runs, weights, df.where(F.col("__slot") == b), vector)
+    if restarts == 1:
+        return runs[0]
+    costs = df.agg(*[F.sum(c).alias(f"c{i}") for i, c in enumerate(_costs(runs, vector))]).first()
+    return runs[int(np.argmin([c or 0.0 for c in costs]))]
+
+
+def _nearest_all(runs: list[np.ndarray], x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, runs) nearest centre of each run, and the squared distance to it."""
+    d2 = [np.stack([((x - c) ** 2).sum(axis=1) for c in centers], axis=1) for centers in runs]
+    return np.stack([d.argmin(axis=1) for d in d2], axis=1), np.stack([d.min(axis=1) for d in d2], axis=1)
+
+
+def _update_all(runs: list[np.ndarray], weights: list[np.ndarray], batch: DataFrame, vector: str) -> None:
+    """One mini-batch step of all runs, in one pass over the batch; the lists are changed in place."""
+    tables = [c.copy() for c in runs]
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def assign(vectors: pd.Series) -> pd.Series:
+        return pd.Series(list(_nearest_all(tables, np.stack(vectors.to_numpy()))[0].astype("int32")) if len(vectors) else [], dtype=object)
+
+    long = batch.select(F.col(vector).alias("__x"), assign(F.col(vector)).alias("__a")).select("__x", F.posexplode("__a").alias("run", "cluster_id"))
+    for row in cluster_moments(long, ["run", "cluster_id"], "__x").collect():  # at most k rows a run
+        r, c = row.run, row.cluster_id
+        total = weights[r][c] + row.n
+        runs[r][c] = (runs[r][c] * weights[r][c] + np.array(row.center) * row.n) / total
+        weights[r][c] = total
+
+
+def _costs(runs: list[np.ndarray], vector: str) -> list[Column]:
+    """Squared distance of a row to its nearest centre, by run."""
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def cost(vectors: pd.Series) -> pd.Series:
+        return pd.Series(list(_nearest_all(runs, np.stack(vectors.to_numpy()))[1]) if len(vectors) else [], dtype=object)
+
+    both = cost(F.col(vector))
+    return [both[i] for i in range(len(runs))]
 
 
 def inertia(df: DataFrame, centers: np.ndarray, vector: str = "vector") -> float:
