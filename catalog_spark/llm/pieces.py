@@ -15,7 +15,7 @@ from .text import chunks, flat_bytes
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
-CACHED_UNITS = 400_000
+CACHED_UNITS = 150_000
 CACHED_LENGTH = 48
 BATCH_BYTES = 1 << 20  # of texts or ids that are turned at once
 UNKNOWN_PENALTY = 10.0  # below the lowest score of a piece
@@ -238,6 +238,13 @@ def _with(docs: DataFrame, name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([*docs.schema.fields, T.StructField(name, kind)])
 
 
+def _id_lists(packed: list[bytes | None]) -> pa.ListArray:
+    """Packed ids as a column of lists."""
+    size = np.array([0 if p is None else len(p) // 4 for p in packed], np.int64)
+    values = np.frombuffer(b"".join(p for p in packed if p), np.int32)
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)].astype(np.int32)), pa.array(values), mask=pa.array([p is None for p in packed]))
+
+
 def encode(docs: DataFrame, words: Vocabulary, text: str = "text", ids: str = "ids") -> DataFrame:
     """``docs`` with the ids of each whole text; a null text has null, an empty one no ids. Other columns pass through."""
     schema, at = _with(docs, ids, T.ArrayType(T.IntegerType())), docs.columns.index(text)
@@ -250,11 +257,7 @@ def encode(docs: DataFrame, words: Vocabulary, text: str = "text", ids: str = "i
             for part in chunks(start, end, BATCH_BYTES):
                 batch = whole.slice(part.start, part.stop - part.start)
                 packed = [None if t is None else encoder.encode(t) for t in batch.column(at).to_pylist()]
-                size = np.array([0 if p is None else len(p) // 4 for p in packed])
-                values = np.frombuffer(b"".join(p for p in packed if p), np.int32)
-                mask = pa.array([p is None for p in packed])
-                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)].astype(np.int32)), pa.array(values), mask=mask)
-                yield pa.RecordBatch.from_arrays([*batch.columns, lists], schema.names)
+                yield pa.RecordBatch.from_arrays([*batch.columns, _id_lists(packed)], schema.names)
 
     return docs.mapInArrow(run, schema)
 
@@ -283,7 +286,24 @@ def decode(rows: DataFrame, words: Vocabulary, ids: str = "ids", text: str = "de
 
 
 def round_trip(docs: DataFrame, words: Vocabulary, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_ids, ids, same): ids of every text, and whether decoding gives the text again."""
-    rows = decode(encode(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), words), words)
-    same = F.col("decoded").eqNullSafe(F.replace("text", F.lit(BLANK), F.lit(" ")))
-    return rows.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).alias("n_ids"), "ids", same.alias("same"))
+    """(doc_id, n_ids, ids, same): ids of every text, and whether decoding gives the text again.
+
+    Both ways in one pass, so that a task needs one Python worker.  A null text has null ids and counts as the same.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = sent.value
+        encoder = _encoder(sent.id if hasattr(sent, "id") else id(sent), words)
+        for whole in batches:
+            _, start, end = flat_bytes(whole.column(1))
+            for part in chunks(start, end, BATCH_BYTES):
+                batch = whole.slice(part.start, part.stop - part.start)
+                texts = batch.column(1).to_pylist()
+                packed = [None if t is None else encoder.encode(t) for t in texts]
+                same = [t is None or decode_ids(words, array("i", p).tolist()) == t.replace(BLANK, " ") for t, p in zip(texts, packed)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), _id_lists(packed), pa.array(same, pa.bool_())], ["doc_id", "ids", "same"])
+
+    kept = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    schema = T.StructType([kept.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("same", T.BooleanType())])
+    return kept.mapInArrow(run, schema).select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).alias("n_ids"), "ids", "same")
