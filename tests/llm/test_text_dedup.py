@@ -154,6 +154,36 @@ def test_removal(rows, seed, length):
     assert {x["doc_id"]: (x["n_bytes"], x["n_removed"], x["n_spans"], x["kept_sha256"]) for x in got} == plain_removal(values, length)
 
 
+@pytest.mark.parametrize("hot", [3000, 100])
+def test_shards_are_sized_and_crowded_anchors_split(rows, tmp_path, monkeypatch, hot):
+    rng = random.Random(4)
+    noise = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    common, longer, passage = noise(18), noise(30), noise(70)
+    values = [(i, noise(60) + (common, longer, passage)[i % 3] + noise(60)) for i in range(300)]
+    values += [(300 + i, noise(20) + values[i][1][20:-20] + noise(20)) for i in range(0, 150)]
+    original = suffix._sorted_shard
+
+    def spied(length):
+        inner, folder = original(length), str(tmp_path)
+
+        def run(batches):
+            batches = list(batches)
+            n = sum(len(x.as_py()) for b in batches for x in b.column("piece"))
+            with open(f"{folder}/{id(batches)}-{rng.random()}-{n}", "w"):
+                pass
+            yield from inner(iter(batches))
+
+        return run
+
+    monkeypatch.setattr(suffix, "_sorted_shard", spied)
+    monkeypatch.setattr(suffix, "HOT_BYTES", hot, raising=False)
+    monkeypatch.setattr(suffix, "SHARD_BYTES", 2000, raising=False)
+    got = suffix.remove_repeated(documents(rows, values), length=50).collect()
+    assert {x["doc_id"]: (x["n_bytes"], x["n_removed"], x["n_spans"], x["kept_sha256"]) for x in got} == plain_removal(values, 50)
+    sizes = [int(f.name.split("-")[-1]) for f in tmp_path.iterdir()]
+    assert len(sizes) > 16 and max(sizes) < 2000 + 3 * hot
+
+
 def test_long_texts_in_pieces():
     rng = np.random.default_rng(1)
     data = rng.integers(97, 100, 5000).astype(np.uint8)
