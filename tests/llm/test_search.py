@@ -1,6 +1,7 @@
 """Piece ids, exact top-k, near-duplicate vectors, licences and the pipeline."""
 
 import random
+import textwrap
 
 import numpy as np
 import pytest
@@ -156,6 +157,25 @@ def test_licences(spark):
     assert licences.scan(docs.where("false"), licences.known_licences(spark)).count() == 0
 
 
+def test_titled_wrapped_and_one_line_licences(spark):
+    holder = "Copyright (c) 2020 Jane Doe"
+    titles = {"MIT": "MIT License", "ISC": "ISC License", "0BSD": "BSD Zero Clause License", "BSD-2-Clause": "BSD 2-Clause License", "BSD-3-Clause": "BSD 3-Clause License"}
+    values = []
+    for name, title in titles.items():
+        body = next(b for n, b in licences.KNOWN if n == name and len(b) > 300)
+        for head in (title + "\n\n" + holder + "\n\n", holder + "\n", title + "\n", title + " " + holder + " ", ""):
+            values += [(name, head + body), (name, head + textwrap.fill(body, 60)), (name, (head + body).upper())]
+    for name, body in licences.full_texts():
+        plain = body.split("\n\n")
+        values += [(name, body), (name, " ".join(body.split())), (name, "\n\n".join(textwrap.fill(p, 71) if "opyright" not in p else p for p in plain))]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(values)], "doc_id long, text string")
+    got = {r["doc_id"]: r["licence"] for r in licences.scan(docs, licences.known_licences(spark)).collect()}
+    assert [(i, name, values[i][1][:60]) for i, (name, _) in enumerate(values) if got[i] != name] == []
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "CC0-1.0"} <= {n for n, _ in values}
+    notice = spark.createDataFrame([(1, holder + ". Licensed under the MIT License.\nmore")], "doc_id long, text string")
+    assert licences.scan(notice, licences.known_licences(spark)).first()["notices"] == ["MIT"]
+
+
 # --- pipeline -------------------------------------------------------------------------------------------------------
 
 
