@@ -1,7 +1,9 @@
 """Piece ids, exact top-k, near-duplicate vectors, licences and the pipeline."""
 
 import random
+import tempfile
 import textwrap
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -133,6 +135,31 @@ def test_near_duplicate_vectors(rows, hot):
     assert polytope.near_duplicates(table.where("false")).count() == 0
 
 
+def test_crowded_bucket_is_compared_in_blocks(rows, tmp_path, monkeypatch):
+    rng = np.random.default_rng(8)
+    values = [(i, [float(x) for x in np.r_[np.ones(8), np.zeros(8)] + rng.normal(0, 0.12, 16)], "a") for i in range(300)]
+    original, folder = polytope._search, str(tmp_path)
+
+    def spied(threshold, tables):
+        inner = original(threshold, tables)
+
+        def run(batches):
+            batches = list(batches)
+            keys = Counter(k for b in batches for k in zip(b["bucket"].to_pylist(), b["salt"].to_pylist()))
+            with tempfile.NamedTemporaryFile(dir=folder, suffix=f"-{max(keys.values(), default=0)}", delete=False):
+                pass
+            yield from inner(iter(batches))
+
+        return run
+
+    table = rows(values, "vec_id long, embedding array<double>, label string")
+    plain = {r["vec_id"]: tuple(r) for r in polytope.near_duplicates(table, 0.93).collect()}
+    monkeypatch.setattr(polytope, "_search", spied)
+    got = {r["vec_id"]: tuple(r) for r in polytope.near_duplicates(table, 0.93, hot_bucket=40).collect()}
+    assert got == plain and sum(n for _, n, *_ in got.values()) > 300
+    assert 0 < max(int(f.name.split("-")[-1]) for f in tmp_path.iterdir()) < 100
+
+
 # --- licences -------------------------------------------------------------------------------------------------------
 
 
