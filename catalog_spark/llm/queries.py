@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..queries.registry import query
-from . import langid, licences, mixing, pieces, polytope, quality, simhash, suffix, topk, toxicity
+from . import codes, langid, licences, mixing, pieces, polytope, quality, simhash, suffix, topk, toxicity
 
 #: Wanted shares of the tokens of good, low-quality and toxic documents.
 TARGETS = {"good": 0.90, "low": 0.07, "toxic": 0.03}
@@ -24,6 +24,37 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
 """
 
 
+def _nearest_sql(book: str) -> str:
+    """Each part with the number of its nearest entry and the squared distance: the least of distance and number together."""
+    return f"""SELECT r, p, a, b, c, d, m % 64 AS e, m // 64 AS dist FROM (
+      SELECT r, p, a, b, c, d, min(((a - y.ya) * (a - y.ya) + (b - y.yb) * (b - y.yb) + (c - y.yc) * (c - y.yc) + (d - y.yd) * (d - y.yd)) * 64 + y.e) AS m
+      FROM parts JOIN {book} y USING (p) GROUP BY ALL)"""
+
+
+def _round_sql(near: str, book: str) -> str:
+    """The entries at the means, rounded down, of their parts; unused ones stay."""
+    down = lambda s: f"CAST(({s} - ((({s}) % n) + n) % n) // n AS BIGINT)"
+    return f"""SELECT p, y.e, {", ".join(f"CASE WHEN n > 0 THEN {down('s' + x)} ELSE y{x} END AS y{x}" for x in "abcd")} FROM {book} y
+      LEFT JOIN (SELECT p, e, count(*) AS n, sum(a) AS sa, sum(b) AS sb, sum(c) AS sc, sum(d) AS sd FROM {near} GROUP BY ALL) USING (p, e)"""
+
+
+CODES_SQL = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT r, vec_id, p, w[4 * p + 1] AS a, w[4 * p + 2] AS b, w[4 * p + 3] AS c, w[4 * p + 4] AS d FROM kept, range(16) AS t(p)
+), ids AS (SELECT r, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT 64),
+book0 AS MATERIALIZED (SELECT p, e, a AS ya, b AS yb, c AS yc, d AS yd FROM parts JOIN ids USING (r)),
+near0 AS MATERIALIZED ({_nearest_sql("book0")}), book1 AS MATERIALIZED ({_round_sql("near0", "book0")}),
+near1 AS MATERIALIZED ({_nearest_sql("book1")}), book2 AS MATERIALIZED ({_round_sql("near1", "book1")}),
+near2 AS MATERIALIZED ({_nearest_sql("book2")}),
+coded AS (SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(dist) AS BIGINT) AS error FROM near2 GROUP BY r),
+whole AS (SELECT sha256(string_agg(concat_ws(',', ya, yb, yc, yd), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book2)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM kept JOIN coded USING (r), whole
+"""
+
+
 def _remainder(key: str, parts: int) -> Column:
     """Fold of a row: crc32 of the id as text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % parts
@@ -101,3 +132,9 @@ def _top_k(t):
 def _simhash(t):
     """Documents by component of 3-word SimHash fingerprints at most 3 bits apart."""
     return simhash.near_duplicates(t.documents, shingle=3, limit=3)
+
+
+@query("op13_vector_codes", CODES_SQL)
+def _codes(t):
+    """Codes of all vectors by 16 codebooks of 64 entries, after two rounds over their distinct parts."""
+    return codes.compress(t.embeddings)
