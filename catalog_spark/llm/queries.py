@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..queries.registry import query
-from . import codes, langid, licences, mixing, pieces, polytope, quality, simhash, suffix, topk, toxicity
+from . import codes, langid, licences, mixing, pieces, polytope, quality, simhash, suffix, topk, toxicity, turns
 
 #: Wanted shares of the tokens of good, low-quality and toxic documents.
 TARGETS = {"good": 0.90, "low": 0.07, "toxic": 0.03}
@@ -54,6 +54,34 @@ whole AS (SELECT sha256(string_agg(concat_ws(',', ya, yb, yc, yd), ',' ORDER BY
 SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM kept JOIN coded USING (r), whole
 """
 
+TRIE_SQL = """
+WITH t AS MATERIALIZED (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(sha256(coalesce(text, '')) || coalesce(role, ''))) AS pos,
+    struct_pack(role := coalesce(role, ''), body := coalesce(text, '')) AS x
+  FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, xor(4294967295, list_reduce(
+    list_prepend(4294967295, flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda d: [CAST(ascii(d) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+    lambda a, b: xor(xor(a, b) >> 1, CASE WHEN xor(a, b) & 1 = 1 THEN 3988292384 ELSE 0 END))) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)
+), lists AS (SELECT conv_id, list(x ORDER BY pos) AS xs FROM t GROUP BY conv_id),
+seqs AS MATERIALIZED (
+  SELECT ids.conv_id, list_concat(coalesce(b.xs[1:h], []), coalesce(o.xs[h + 1:], [])) AS xs
+  FROM ids JOIN lists o USING (conv_id) LEFT JOIN lists b ON b.conv_id = ids.base
+), nodes AS MATERIALIZED (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(xs) = depth) AS ends
+  FROM (SELECT conv_id, xs, depth, xs[1:depth] AS path FROM (SELECT *, unnest(range(len(xs) + 1)) AS depth FROM seqs)) GROUP BY path, depth
+), kids AS (
+  SELECT n.path, n.depth, count(k.path) AS n_children FROM nodes n LEFT JOIN nodes k ON k.depth = n.depth + 1 AND k.path[1:n.depth] = n.path GROUP BY ALL
+), sums AS (
+  SELECT path[1:up] AS path, up AS depth, count(*) FILTER (n_children = 0) AS n_leaves,
+    sum(CASE WHEN depth > 0 THEN (n_convs - 1) * strlen(path[depth].body) ELSE 0 END) AS saved_tokens
+  FROM (SELECT *, unnest(range(depth + 1)) AS up FROM nodes JOIN kids USING (path, depth)) GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM nodes n JOIN kids USING (path, depth) JOIN sums USING (path, depth) LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]
+"""
+
 
 def _remainder(key: str, parts: int) -> Column:
     """Fold of a row: crc32 of the id as text."""
@@ -138,3 +166,9 @@ def _simhash(t):
 def _codes(t):
     """Codes of all vectors by 16 codebooks of 64 entries, after two rounds over their distinct parts."""
     return codes.compress(t.embeddings)
+
+
+@query("op12_conversation_trie", TRIE_SQL)
+def _turns(t):
+    """Trie of the beginnings of all conversations, rebuilt with shared heads."""
+    return turns.prefix_trie(t.conversations)
