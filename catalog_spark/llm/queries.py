@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..queries.registry import query
-from . import codes, langid, licences, mixing, pieces, polytope, quality, simhash, suffix, topk, toxicity, turns
+from . import codes, langid, licences, mixing, phrases, pieces, polytope, quality, simhash, suffix, topk, toxicity, turns
 
 #: Wanted shares of the tokens of good, low-quality and toxic documents.
 TARGETS = {"good": 0.90, "low": 0.07, "toxic": 0.03}
@@ -83,6 +83,20 @@ FROM nodes n JOIN kids USING (path, depth) JOIN sums USING (path, depth) LEFT JO
 """
 
 
+PHRASES_SQL = r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x09-\x0D\x20]+'), lambda w: w <> '') AS words FROM documents
+), windows AS MATERIALIZED (
+  SELECT r, pos, array_to_string(words[pos:pos + 34], ' ') AS body FROM (SELECT r, words, unnest(range(1, len(words) - 33)) AS pos FROM d WHERE len(words) >= 35)
+), again AS (SELECT body FROM windows GROUP BY body HAVING count(*) > 1),
+gone AS MATERIALIZED (SELECT DISTINCT r, unnest(range(pos, pos + 35)) AS place FROM windows SEMI JOIN again USING (body)),
+kept AS (
+  SELECT r, string_agg(w, ' ' ORDER BY place) AS body, count(*) AS n FROM (SELECT r, unnest(words) AS w, unnest(range(1, len(words) + 1)) AS place FROM d) ANTI JOIN gone USING (r, place) GROUP BY r
+)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (r)
+"""
+
+
 def _remainder(key: str, parts: int) -> Column:
     """Fold of a row: crc32 of the id as text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % parts
@@ -168,6 +182,12 @@ def _codes(t):
     return codes.compress(t.embeddings)
 
 
+@query("op11_phrase_dedup", PHRASES_SQL)
+def _phrases(t):
+    """Documents without the words of 35-word passages that occur more than once."""
+    return phrases.remove_repeated(t.documents, length=35)
+
+
 @query("op12_conversation_trie", TRIE_SQL)
 def _turns(t):
     """Trie of the beginnings of all conversations, rebuilt with shared heads."""
