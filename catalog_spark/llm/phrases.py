@@ -372,7 +372,8 @@ def _spans(texts: DataFrame, length: int, keep: Callable[[DataFrame, str], DataF
     """(key, low, high): the words from ``low`` to before ``high`` of a text go."""
     spark = texts.sparkSession
     runs = keep(texts.mapInArrow(_anchors(length), "anchor long, key binary, first int, n int, copies long"), "runs")
-    again = runs.groupBy("anchor").agg(F.sum("copies").alias("places")).where("places > 1").select("anchor")
+    # written, so that the join below is between two plain shuffles, which Spark can split where an anchor is frequent
+    again = keep(runs.groupBy("anchor").agg(F.sum("copies").alias("places")).where("places > 1").select("anchor"), "again")
     own = runs.join(again, "anchor").groupBy("key").agg(F.collect_list(F.struct("first", "n", "anchor")).alias("runs"))
     own = keep(own, "own")  # runs of one text, at most as many as its words
     cut = texts.join(own, "key").select("key", "copies", "text", "runs")
