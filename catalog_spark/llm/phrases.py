@@ -40,7 +40,7 @@ LONG_BYTES = 1 << 22  # a longer text is read in parts
 SHARD_BYTES = 1 << 22  # of stretches whose phrases make one automaton
 HOT_BYTES = 1 << 20  # a gram with more bytes of different stretches is dealt by window
 COPY_BYTES = 1 << 26  # of stretches that one copy of a shard's automaton searches
-TASK_BYTES = 1 << 25
+TASK_BYTES = 1 << 23
 PLACE = np.dtype([("key", "V16"), ("first", "<i4")])
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
