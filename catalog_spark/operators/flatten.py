@@ -5,9 +5,9 @@ from __future__ import annotations
 import json
 import logging
 import re
+from collections import defaultdict
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 log = logging.getLogger(__name__)
@@ -131,12 +131,42 @@ def _merge_names(pairs: list[tuple[str, Column]], case_sensitive: bool) -> list[
     by_name: dict[str, list[Column]] = {}
     for name, value in pairs:
         by_name.setdefault(name, []).append(value)
-    for name, values in by_name.items():
-        if len(values) > 1:
-            log.warning("column %s comes from %d paths; the last one wins", name, len(values))
-    if not case_sensitive and len({n.lower() for n in by_name}) < len(by_name):
-        raise ValueError("keys differ only in case: set spark.sql.caseSensitive=true")
-    return [F.coalesce(*reversed(v)).alias(n) if len(v) > 1 else v[0].alias(n) for n, v in by_name.items()]
+    names = by_name if case_sensitive else _told_apart(list(by_name))
+    return [F.coalesce(*reversed(v)).alias(n) if len(v) > 1 else v[0].alias(n) for n, v in zip(names, by_name.values())]
+
+
+def _told_apart(names: list[str]) -> list[str]:
+    """Names that differ in more than case: the second of ``Ab`` and ``ab`` becomes ``ab__2``."""
+    taken: set[str] = set()
+    out = []
+    for name in names:
+        new, n = name, 1
+        while new.lower() in taken:
+            n += 1
+            new = f"{name}__{n}"
+        taken.add(new.lower())
+        out.append(new)
+    return out
+
+
+def _place_in_text(text: str, path: tuple[str, ...]) -> Column:
+    """Where a path stands in a document: the place of each of its keys among its neighbours, as comparable numbers."""
+    objects = [F.col(text) if not i else F.get_json_object(text, json_path(path[:i])) for i in range(len(path))]
+    return F.array(*[F.coalesce(F.array_position(F.json_object_keys(o), part), F.lit(0)) for o, part in zip(objects, path)])
+
+
+def _last_in_text(text: str, leaves: list[Leaf], values: list[Column]) -> Column:
+    """The value of the path that a document names last, null too; a path with an object is none."""
+    found = [F.variant_get("__v", json_path(leaf.path), "variant") for leaf in leaves]
+    there = [f.isNotNull() & ~F.schema_of_variant(f).startswith("OBJECT") for f in found]
+    places = [F.when(t, F.struct(_place_in_text(text, leaf.path).alias("at"), F.lit(i).alias("i"))) for i, (t, leaf) in enumerate(zip(there, leaves))]
+    last = F.array_max(F.array_compact(F.array(*places)))["i"]
+    if len({leaf.type for leaf in leaves}) > 1:
+        values = [v.cast("string") for v in values]
+    picked = F.when(last == 0, values[0])
+    for i, value in enumerate(values[1:], 1):
+        picked = picked.when(last == i, value)
+    return picked
 
 
 def flatten_json(docs: DataFrame, text: str, keep_columns: list[str] | None = None, leaves: list[Leaf] | None = None, **limits) -> DataFrame:
@@ -145,36 +175,57 @@ def flatten_json(docs: DataFrame, text: str, keep_columns: list[str] | None = No
     The schema comes from ``discover_leaves`` unless given; then each document is
     parsed once with exactly that schema.  Arrays stay minified JSON text with key
     order and nulls kept.  ``keep_columns`` are carried along unchanged.
+
+    Of several paths that give one name, the one that a document names last wins, null
+    too; different types of them become text.  Names that differ only in case are columns
+    of their own, ``Ab`` and ``ab__2``, or ``ab`` where the session tells cases apart.
     """
     carried = list(keep_columns or [])
     variants = docs.select(*carried, text, F.try_parse_json(text).alias("__v"))
     if leaves is None:
         leaves = discover_leaves(variants, "__v", **limits)
-    schema = _nested_schema(leaves)
+    case_sensitive = docs.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    if not case_sensitive:  # fields of a struct are found without regard to case, paths of a variant are not
+        spelt = defaultdict(set)
+        for leaf in leaves:
+            for i in range(1, len(leaf.path) + 1):
+                spelt[tuple(x.lower() for x in leaf.path[:i])].add(leaf.path[:i])
+        doubtful = {leaf.path for leaf in leaves if any(len(spelt[tuple(x.lower() for x in leaf.path[:i])]) > 1 for i in range(1, len(leaf.path) + 1))}
+    else:
+        doubtful = set()
+    schema = _nested_schema([leaf for leaf in leaves if leaf.path not in doubtful])
     rows = variants.where("__v IS NOT NULL")
     if schema.fields:
         rows = rows.withColumn("__doc", F.from_json(text, schema))
-    pairs = []
+    found: dict[str, list[tuple[Leaf, Column]]] = defaultdict(list)
     for leaf in leaves:
         if not leaf.path:
             kind = F.schema_of_variant("__v")
             whole = F.get_json_object(text, "$")
-            pairs.append(("list", F.when(kind.startswith("ARRAY"), whole)))
-            pairs.append(("value", F.when(~kind.startswith("ARRAY") & ~kind.startswith("OBJECT"), F.variant_get("__v", "$", "string"))))
-        elif leaf.mixed:
+            found["list"].append((leaf, F.when(kind.startswith("ARRAY"), whole)))
+            found["value"].append((leaf, F.when(~kind.startswith("ARRAY") & ~kind.startswith("OBJECT"), F.variant_get("__v", "$", "string"))))
+        elif leaf.mixed or (leaf.path in doubtful and isinstance(leaf.type, T.StringType)):
             v = F.variant_get("__v", json_path(leaf.path), "variant")
             plain = ~F.schema_of_variant(v).startswith("OBJECT")
             written = F.get_json_object(text, json_path(leaf.path))
             if any("'" in part for part in leaf.path):  # which the other function's paths cannot name
                 written = F.when(F.schema_of_variant(v).startswith("ARRAY"), F.to_json(v)).otherwise(F.variant_get(v, "$", "string"))
-            pairs.append((column_name(leaf.path), F.when(plain, written)))
+            found[column_name(leaf.path)].append((leaf, F.when(plain, written)))
+        elif leaf.path in doubtful:
+            found[column_name(leaf.path)].append((leaf, F.variant_get("__v", json_path(leaf.path), leaf.type.simpleString())))
         else:
             value = F.col("__doc")
             for part in leaf.path:
                 value = value.getField(part)
-            pairs.append((column_name(leaf.path), value))
-    case_sensitive = docs.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
-    return rows.select(*carried, *_merge_names(pairs, case_sensitive))
+            found[column_name(leaf.path)].append((leaf, value))
+    columns = []
+    for name, same in zip(found if case_sensitive else _told_apart(list(found)), found.values()):
+        if len(same) > 1 and all(leaf.path for leaf, _ in same):
+            log.warning("column %s comes from %d paths; the last one in a document wins", name, len(same))
+            columns.append(_last_in_text(text, [leaf for leaf, _ in same], [v for _, v in same]).alias(name))
+        else:
+            columns.append(F.coalesce(*[v for _, v in reversed(same)]).alias(name) if len(same) > 1 else same[0][1].alias(name))
+    return rows.select(*carried, *columns)
 
 
 def flatten_struct(df: DataFrame) -> DataFrame:
@@ -215,34 +266,29 @@ def first_filled(v: Column, paths: list[tuple[str, ...]]) -> Column:
     return F.trim(F.coalesce(*[filled(p) for p in paths], F.lit("")))
 
 
-def _collect_values(text: str, key: str) -> list[str]:
-    found: dict[str, None] = {}
-    stack = [json.loads(text)]
-    while stack:
-        node = stack.pop()
-        children = node.items() if isinstance(node, dict) else enumerate(node)
-        for name, value in children:
-            if isinstance(value, (dict, list)):
-                stack.append(value)
-            elif name == key and isinstance(node, dict) and isinstance(value, (str, int)):
-                found[str(value)] = None
-    return list(found)
+# A string of a JSON text and, if it is a key with a plain value, the value.
+JSON_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+JSON_ENTRY = rf"{JSON_STRING}(?::(?:{JSON_STRING}|-?[0-9][0-9.eE+-]*+|true|false))?"
 
 
 def key_values(docs: DataFrame, text: str, key: str, keep_columns: list[str], alias: str = "value") -> DataFrame:
     """Every distinct string or integer found under ``key`` at any depth, per carried columns.
 
-    Documents without the quoted key never reach Python.
+    A parsed document is written out again, so that keys have one spelling and no blanks around them; its strings are
+    then read from left to right together with the plain value behind them.  A key inside a string is part of that
+    string, so it is not found.  Truth values count as ``True`` and ``False``.
     """
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def collect(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: _collect_values(x, key) if x[:1] in "{[" else [])
-
-    docs = docs.select(*keep_columns, F.trim(text).alias("__t"))
-    docs = docs.where(F.col("__t").contains(f'"{key}"') & F.try_parse_json("__t").isNotNull())
-    found = docs.select(*keep_columns, F.explode_outer(collect("__t")).alias(alias))
-    return found.where(F.col(alias).isNotNull()).distinct()
+    written = F.to_json(F.try_parse_json(F.trim(text)))
+    wanted = json.dumps(key, ensure_ascii=False) + ":"
+    entries = F.filter(F.regexp_extract_all(written, F.lit(JSON_ENTRY), F.lit(0)), lambda e: e.startswith(wanted))
+    found = docs.where(F.col(text).contains(key) | F.col(text).contains("\\u")).select(*keep_columns, F.explode(entries).alias("__e"))
+    value = F.substring(F.col("__e"), F.lit(len(wanted) + 1), F.length("__e"))
+    plain = (
+        F.when(value.startswith('"'), F.variant_get(F.try_parse_json(value), "$", "string"))
+        .when(value.rlike("^-?[0-9]+$"), value)
+        .when(value.isin("true", "false"), F.initcap(value))
+    )
+    return found.select(*keep_columns, plain.alias(alias)).where(F.col(alias).isNotNull()).distinct()
 
 
 def add_fields(doc: Column, fields: dict[str, Column]) -> Column:

@@ -29,16 +29,19 @@ def flatten_dash(t):
 
 
 ODD = """
-SELECT concat('{{"id":', o_orderkey, ',"odd  key.v":"', o_orderstatus, '","a":{{"b":', o_custkey, ',"none":{{}}}}',
-  CASE WHEN o_orderkey % 2 = 0 THEN concat(',"a.b":', o_orderkey) ELSE '' END, '}}') AS doc FROM {orders}
+SELECT concat('{{"id":', o_orderkey, ',"odd  key.v":"', o_orderstatus, '"', CASE WHEN o_orderkey % 5 = 0 THEN concat(',"Odd  key.v":', o_custkey) ELSE '' END,
+  CASE WHEN o_orderkey % 4 = 0 THEN concat(',"a.b":', o_orderkey) ELSE '' END, ',"a":{{"b":', CASE WHEN o_orderkey % 3 = 0 THEN 'null' ELSE o_custkey END, ',"none":{{}}}}',
+  CASE WHEN o_orderkey % 4 = 2 THEN concat(',"a.b":', o_orderkey) ELSE '' END, '}}') AS doc FROM {orders}
 """
 
 
 @query(
     "flatten_key_normalize",
-    """SELECT o_orderkey AS id, o_orderstatus AS "odd_key-v", CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey ELSE o_custkey END AS "a-b" FROM orders""",
+    """SELECT o_orderkey AS id, o_orderstatus AS "odd_key-v__2", CASE WHEN o_orderkey % 5 = 0 THEN o_custkey END AS "Odd_key-v",
+      CASE WHEN o_orderkey % 4 = 2 THEN o_orderkey WHEN o_orderkey % 3 <> 0 THEN o_custkey END AS "a-b" FROM orders""",
 )
 def flatten_key_normalize(t):
+    """Two paths to one name, in either order and null, and two keys that differ in case."""
     return flatten.flatten_json(t.sql(ODD, orders=t.spread("orders", "o_orderkey")), "doc")
 
 

@@ -27,9 +27,22 @@ def test_flatten_edges(rows):
     assert values == {(1.5, None, None, True, 1), (2.0, '[{"b":null,"a":1}]', None, None, None), (None,) * 5}
 
 
-def test_flatten_collision_later_path_wins(rows):
-    got = flat(rows, [{"a": {"b": 2}, "a.b": 1}, {"a": {"b": 3}}])
-    assert got.columns == ["a-b"] and sorted(r[0] for r in got.collect()) == [1, 3]
+def test_flatten_collision_last_key_wins(rows):
+    docs = ['{"a":{"b":2},"a.b":1}', '{"a.b":1,"a":{"b":2}}', '{"a":{"b":3}}', '{"a.b":4,"a":{"b":null}}', '{"a":{"b":null},"a.b":5}', '{"a.b":6,"a":{}}', '{"a":8}']
+    got = flat(rows, docs)
+    assert got.columns == ["a", "a-b"] and [r["a-b"] for r in got.collect()] == [1, 2, 3, None, 5, 6, None]
+
+
+def test_flatten_collision_of_types_and_three_paths(rows):
+    docs = ['{"x":{"y":{"z":1}},"x.y":{"z":"s"},"x.y.z":2.5}', '{"x.y.z":2.5,"x.y":{"z":"s"},"x":{"y":{"z":1}}}', '{"x":{"y":{"z":1}},"x.y.z":2.5,"x.y":{"z":"s"}}']
+    assert [tuple(r) for r in flat(rows, docs).collect()] == [("2.5",), ("1",), ("s",)]
+
+
+def test_flatten_keys_that_differ_in_case(rows):
+    docs = ['{"Ab":1,"k":{"Q":[1, 2]}}', '{"ab":2,"k":{"q":"t"}}', '{"Ab":3,"ab":4,"K":{"q":true}}']
+    got = flat(rows, docs)
+    assert got.columns == ["Ab", "K-q", "ab__2", "k-Q__2", "k-q__3"]
+    assert [tuple(r) for r in got.collect()] == [(1, None, None, "[1,2]", None), (None, None, 2, None, "t"), (3, True, 4, None, None)]
 
 
 def test_flatten_scalar_object_conflict(rows):
@@ -79,6 +92,14 @@ def test_key_values(rows):
     assert got == {(0, "1"), (0, "2"), (0, "3"), (2, "4")}
 
 
+def test_key_values_reads_text_in_the_jvm(rows):
+    docs = ['{"tcin":"a\\"b"}', '{"tc\\u0069n":"u"}', '[{"tcin":-5},{"tcin":1.5},{"tcin":true}]', '["tcin","x"]', '{"a":"\\\\","tcin":"é"}', '"tcin"', '{"tcinx":1,"xtcin":2}', json.dumps({"long": 'q"\n' * 50_000, "tcin": "end"}), None]
+    df = rows([(i, d) for i, d in enumerate(docs)], "i int, doc string")
+    found = flatten.key_values(df, "doc", "tcin", ["i"])
+    assert sorted(tuple(r) for r in found.collect()) == [(0, 'a"b'), (1, "u"), (2, "-5"), (2, "True"), (4, "é"), (7, "end")]
+    assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_first_filled(rows):
     docs = ['{"a": " x ", "b": "y"}', '{"a": "", "b": 7}', '{"a": 0, "b": false, "c": {"d": "z"}}', '{"a": "0"}', "{}", '{"a": 0.0, "b": []}']
     df = rows([(i, d) for i, d in enumerate(docs)], "i int, doc string").withColumn("v", F.try_parse_json("doc"))
