@@ -4,36 +4,25 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.vectors import distance
 from ..session import work_folder
+from . import blocks, lloyd
 from .skew import lookup_join
 
 # Restarts of a final fit and of a fit within the sweep over K.
 FINAL_RESTARTS = 20
 SWEEP_RESTARTS = 10
-MAX_ITERATIONS = 300
-TOLERANCE = 1e-4
 
 
-def fit_kmeans(df: DataFrame, k: int, features: str = "features", restarts: int = FINAL_RESTARTS, seed: int = 42) -> KMeansModel:
-    """Least-cost model of several seeded runs; ``df`` should be cached by the caller."""
+def fit_kmeans(df: DataFrame, k: int, row_id: str = "row_id", vector: str = "vector", restarts: int = FINAL_RESTARTS, seed: int = 42) -> np.ndarray:
+    """Centres of the least cost of several seeded runs, which share their passes over ``df``; the caller should cache it."""
     if k < 2:
         raise ValueError("k must be at least 2")
-    best = None
-    for i in range(restarts):
-        model = KMeans(k=k, featuresCol=features, predictionCol="cluster_id", initMode="k-means||", maxIter=MAX_ITERATIONS, tol=TOLERANCE, seed=seed + i).fit(df)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best
-
-
-def centers_of(model: KMeansModel) -> np.ndarray:
-    return np.vstack(model.clusterCenters())
+    return lloyd.best_fits(df, [k], lloyd.spread_starts(df, [k], restarts, row_id, vector, seed), vector)[k].centers
 
 
 def nearest_center(centers: np.ndarray, ids: list[int] | None = None):
@@ -46,8 +35,8 @@ def nearest_center(centers: np.ndarray, ids: list[int] | None = None):
     def assign(vectors: pd.Series) -> pd.Series:
         if vectors.empty:
             return pd.Series([], dtype="int32")
-        x = np.stack(vectors.to_numpy())
-        d2 = np.stack([((x - c) ** 2).sum(axis=1) for c in table], axis=1)
+        x, middle = np.stack(vectors.to_numpy()), table.mean(axis=0)
+        d2 = blocks.squared_distances(x - middle, table - middle)
         return pd.Series(names[d2.argmin(axis=1)].astype("int32"))
 
     return assign

@@ -8,8 +8,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..session import materialize
-from . import blocks
-from .cluster import SWEEP_RESTARTS, centers_of, cluster_moments, fit_kmeans, fit_minibatch
+from . import blocks, lloyd
+from .cluster import SWEEP_RESTARTS, cluster_moments, fit_minibatch
 from .summary import min_max_scale
 
 # Score weights and the slack that favours the elbow.
@@ -211,7 +211,7 @@ def assign_all(models: dict[int, np.ndarray]):
         if vectors.empty:
             return pd.Series([], dtype=object)
         x = np.stack(vectors.to_numpy())
-        columns = [np.stack([((x - c) ** 2).sum(1) for c in t], axis=1).argmin(1) for t in tables]
+        columns = [blocks.squared_distances(x - t.mean(axis=0), t - t.mean(axis=0)).argmin(axis=1) for t in tables]
         return pd.Series(list(np.stack(columns, axis=1).astype("int32")))
 
     return assign
@@ -229,21 +229,28 @@ def sweep(
 ) -> DataFrame:
     """Metric table over K.  ``df`` holds a vector column; cache it before the call.
 
-    Each K is fitted by Spark jobs on the cached vectors; then one pass gives
-    inertia and Calinski-Harabasz of all K, and two the silhouettes of all K, by
+    All restarts of all K go through the same passes, one a Lloyd step; then one pass
+    gives inertia and Calinski-Harabasz of all K, and two the silhouettes of all K, by
     squared distance and over every row.
     """
     if k_min < 2 or k_max < k_min:
         raise ValueError("need 2 <= k_min <= k_max")
-    rows = df.select(row_id, features, vector_to_array(features).alias("__x"))
-    models: dict[int, np.ndarray] = {}
-    for k in range(k_min, k_max + 1):
+    rows = df.select(row_id, vector_to_array(features).alias("__x")).persist()
+    try:
         if minibatch:
-            models[k] = fit_minibatch(rows, k, row_id, "__x", seed=seed, restarts=restarts)
+            models = {k: fit_minibatch(rows, k, row_id, "__x", seed=seed, restarts=restarts) for k in range(k_min, k_max + 1)}
         else:
-            models[k] = centers_of(fit_kmeans(rows, k, features, restarts, seed))
-    assigned = rows.withColumn("__a", assign_all(models)("__x"))
+            ks = list(range(k_min, k_max + 1))
+            models = {k: fit.centers for k, fit in lloyd.best_fits(rows, ks, lloyd.spread_starts(rows, ks, restarts, row_id, "__x", seed), "__x").items()}
+        return metrics_of(rows, models, row_id, "__x")
+    finally:
+        rows.unpersist()
+
+
+def metrics_of(rows: DataFrame, models: dict[int, np.ndarray], row_id: str, vector: str) -> DataFrame:
+    """Metric table of the partitions that the centres of each K make of ``rows``."""
+    assigned = rows.withColumn("__a", assign_all(models)(vector))
     labels = {k: f"__k{k}" for k in models}
-    wide = materialize(assigned.select(row_id, "__x", *[F.col("__a")[i].alias(c) for i, c in enumerate(labels.values())]), "sweep")
-    table = partition_metrics(wide, labels, "__x").join(silhouette_squared(wide, "__x", labels), "k", "left")
+    wide = materialize(assigned.select(row_id, vector, *[F.col("__a")[i].alias(c) for i, c in enumerate(labels.values())]), "sweep")
+    table = partition_metrics(wide, labels, vector).join(silhouette_squared(wide, vector, labels), "k", "left")
     return score_table(materialize(table.select("k", "inertia", "silhouette", "calinski_harabasz"), "k_metrics"))

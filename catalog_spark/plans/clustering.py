@@ -150,7 +150,7 @@ def cluster_products(raw: DataFrame, options: ClusterOptions = ClusterOptions(),
         if options.minibatch:
             centers = cluster.fit_minibatch(vectors, k, "row_id", seed=options.seed, restarts=options.final_restarts)
         else:
-            centers = cluster.centers_of(cluster.fit_kmeans(vectors, k, restarts=options.final_restarts, seed=options.seed))
+            centers = cluster.fit_kmeans(vectors, k, restarts=options.final_restarts, seed=options.seed)
         enriched = diagnose(df, vectors, centers, options)
     finally:
         vectors.unpersist()

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
-from ..operators import cluster, kselect, neighbors, project, summary
+from ..operators import cluster, kselect, lloyd, neighbors, project, summary
 from ..plans.catalog import product_report
 from ..session import materialize, work_folder
 from . import fixtures as fx
@@ -109,15 +109,16 @@ def calinski_harabasz(t):
 
 # Partitions that need no fit: for K the labels K-1 and above are one cluster.
 KS = range(2, 11)
-DUCK_METRICS = f"""ks AS (SELECT CAST(unnest(range(2, 11)) AS INTEGER) AS k),
-cells AS (SELECT k, least(label, k - 1) AS g, vec_id, p, x FROM (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) AS p FROM embeddings), ks),
-kc AS (SELECT k, g, p, avg(x) AS c, count(*) AS n FROM cells GROUP BY k, g, p), km AS (SELECT k, p, avg(x) AS m FROM cells GROUP BY k, p),
+DUCK_SCORES = """kc AS (SELECT k, g, p, avg(x) AS c, count(*) AS n FROM cells GROUP BY k, g, p), km AS (SELECT k, p, avg(x) AS m FROM cells GROUP BY k, p),
 w AS (SELECT k, sum((x - c) * (x - c)) AS inertia, count(DISTINCT vec_id) AS n, count(DISTINCT g) AS groups FROM cells JOIN kc USING (k, g, p) GROUP BY k),
 b AS (SELECT k, sum(n * (c - m) * (c - m)) AS b FROM kc JOIN km USING (k, p) GROUP BY k),
 metrics AS (SELECT k, inertia, (b / (groups - 1)) / (inertia / (w.n - groups)) AS ch FROM w JOIN b USING (k)),
 pts AS (SELECT k, inertia, (k - min(k) OVER ()) / (max(k) OVER () - min(k) OVER () + 1e-9) AS x, (inertia - min(inertia) OVER ()) / (max(inertia) OVER () - min(inertia) OVER () + 1e-9) AS y FROM metrics),
 ends AS (SELECT arg_min(x, k) AS x1, arg_min(y, k) AS y1, arg_max(x, k) - arg_min(x, k) AS dx, arg_max(y, k) - arg_min(y, k) AS dy FROM pts),
 elbow AS (SELECT k AS elbow_k FROM (SELECT k, abs((x - x1) * dy - (y - y1) * dx) / sqrt(dx * dx + dy * dy) AS off FROM pts, ends) ORDER BY off DESC, k LIMIT 1)"""
+DUCK_METRICS = f"""ks AS (SELECT CAST(unnest(range(2, 11)) AS INTEGER) AS k),
+cells AS (SELECT k, least(label, k - 1) AS g, vec_id, p, x FROM (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) AS p FROM embeddings), ks),
+{DUCK_SCORES}"""
 
 
 def merged_labels(t):
@@ -170,14 +171,53 @@ def feature_rows(t):
     return fx.vectors(t).withColumn("features", array_to_vector("vector"))
 
 
-@query("kmeans_assign")
+def lloyd_sql(ks: str, restarts: int, steps: int) -> str:
+    """Relations ``best`` (k, run) and ``chosen`` (k, vec_id, e, j): Lloyd steps of all restarts of all K, the least cost of each K.
+
+    Starts are rows in the order of a digest of id and restart; a centre without rows stays where it is.
+    """
+    parts = [
+        "v AS MATERIALIZED (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)",
+        f"ks AS (SELECT unnest({ks}) AS k)",
+        f"""first_rows AS MATERIALIZED (SELECT run, e, row_number() OVER (PARTITION BY run ORDER BY md5(concat(vec_id, ':', run)), vec_id) - 1 AS j FROM v, range({restarts}) AS r(run))""",
+        "c0 AS MATERIALIZED (SELECT k, run, j, e AS c FROM first_rows JOIN ks ON j < k)",
+    ]
+    for i in range(steps + 1):
+        parts.append(f"a{i} AS MATERIALIZED (SELECT k, run, vec_id, any_value(e) AS e, min({{'d': list_distance(e, c), 'j': j}}) AS m FROM v, c{i} GROUP BY k, run, vec_id)")
+        if i < steps:
+            parts.append(f"""c{i + 1} AS MATERIALIZED (SELECT o.k, o.run, o.j, coalesce(n.c, o.c) AS c FROM c{i} o LEFT JOIN (
+              SELECT k, run, j, list(x ORDER BY p) AS c FROM (SELECT k, run, j, p, avg(x) AS x FROM (SELECT k, run, m.j AS j, unnest(e) AS x, generate_subscripts(e, 1) AS p FROM a{i}) GROUP BY k, run, j, p) GROUP BY k, run, j
+            ) n USING (k, run, j))""")
+    parts.append(f"best AS (SELECT k, arg_min(run, (cost, run)) AS run FROM (SELECT k, run, sum(m.d ** 2) AS cost FROM a{steps} GROUP BY k, run) GROUP BY k)")
+    parts.append(f"chosen AS MATERIALIZED (SELECT k, vec_id, e, m.j AS j FROM a{steps} JOIN best USING (k, run))")
+    return ", ".join(parts)
+
+
+def by_first_row(assigned, row_id: str):
+    """Clusters numbered in the order of their smallest row id, so that a partition has one numbering."""
+    first = assigned.groupBy("cluster_id").agg(F.min(row_id).alias("first"))
+    numbers = first.select("cluster_id", (F.row_number().over(Window.orderBy("first")) - 1).alias("number"))  # a row a cluster
+    return assigned.join(F.broadcast(numbers), "cluster_id").select(row_id, F.col("number").alias("cluster_id"))
+
+
+@query(
+    "kmeans_assign",
+    f"""WITH {lloyd_sql('[10]', 20, 10)}, firsts AS (SELECT j, row_number() OVER (ORDER BY min(vec_id)) - 1 AS number FROM chosen GROUP BY j)
+    SELECT vec_id, CAST(number AS INTEGER) AS cluster_id FROM chosen JOIN firsts USING (j)""",
+)
 def kmeans_assign(t):
-    rows = materialize(fx.vectors(t).select("vec_id", "vector"), "vectors").withColumn("features", array_to_vector("vector")).persist()
-    try:
-        model = cluster.fit_kmeans(rows, 10)
-    finally:
-        rows.unpersist()
-    return model.transform(rows).select("vec_id", "cluster_id")
+    """The best of 20 restarts after ten steps each, from rows of the table."""
+    rows = materialize(fx.vectors(t).select("vec_id", "vector"), "vectors")
+    starts = lloyd.row_starts(rows, [10], cluster.FINAL_RESTARTS, "vec_id")
+    fit = lloyd.best_fits(rows, [10], starts, max_iterations=10, tolerance=0.0)[10]
+    return by_first_row(rows.select("vec_id", cluster.nearest_center(fit.centers)("vector").alias("cluster_id")), "vec_id")
+
+
+@query("kmeans_fit")
+def kmeans_fit(t):
+    """The same from spread starts and until no centre moves."""
+    rows = materialize(fx.vectors(t).select("vec_id", "vector"), "vectors")
+    return by_first_row(rows.select("vec_id", cluster.nearest_center(cluster.fit_kmeans(rows, 10, "vec_id"))("vector").alias("cluster_id")), "vec_id")
 
 
 @query("minibatch_kmeans_assign")
@@ -187,13 +227,29 @@ def minibatch_kmeans_assign(t):
     return rows.select("vec_id", cluster.nearest_center(centers)("vector").alias("cluster_id"))
 
 
-@query("k_metrics_table")
+@query(
+    "k_metrics_table",
+    f"""WITH {lloyd_sql('range(2, 21)', 10, 6)},
+    cells AS (SELECT k, j AS g, vec_id, unnest(e) AS x, generate_subscripts(e, 1) AS p FROM chosen),
+    {DUCK_SCORES},
+    pairs AS (SELECT a.vec_id AS id, b.vec_id AS other, list_distance(a.e, b.e) ** 2 AS d FROM v a JOIN v b ON a.vec_id <> b.vec_id),
+    sums AS (SELECT o.k, id, o.j AS own, c.j AS j, avg(d) AS d FROM pairs JOIN chosen o ON o.vec_id = id JOIN chosen c ON c.vec_id = other AND c.k = o.k GROUP BY ALL),
+    ab AS (SELECT k, id, max(CASE WHEN j = own THEN d END) AS a, min(CASE WHEN j <> own THEN d END) AS b FROM sums GROUP BY k, id),
+    sil AS (SELECT k, avg(CASE WHEN a IS NULL OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END) AS sil FROM ab GROUP BY k),
+    norms AS (SELECT k, inertia, sil, ch, elbow_k, (sil - min(sil) OVER ()) / (max(sil) OVER () - min(sil) OVER () + 1e-9) AS sil_norm,
+      (ch - min(ch) OVER ()) / (max(ch) OVER () - min(ch) OVER () + 1e-9) AS ch_norm FROM metrics JOIN sil USING (k), elbow)
+    SELECT CAST(k AS INTEGER) AS k, round(inertia, 3) AS inertia, round(sil, 6) AS silhouette, round(ch, 4) AS calinski_harabasz, CAST(elbow_k AS INTEGER) AS inertia_elbow_k,
+      round(sil_norm, 4) AS sil_norm, round(ch_norm, 4) AS ch_norm, round(0.55 * sil_norm + 0.45 * ch_norm, 4) AS score FROM norms""",
+)
 def k_metrics_table(t):
-    rows = feature_rows(t).persist()
-    try:
-        return kselect.sweep(rows, 2, 5, "vec_id", restarts=1)
-    finally:
-        rows.unpersist()
+    """K from 2 to 20 with 10 restarts each, six steps from rows of the table."""
+    rows = materialize(fx.vectors(t).select("vec_id", "vector"), "vectors")
+    ks = list(range(2, 21))
+    starts = lloyd.row_starts(rows, ks, cluster.SWEEP_RESTARTS, "vec_id")
+    models = {k: f.centers for k, f in lloyd.best_fits(rows, ks, starts, max_iterations=6, tolerance=0.0).items()}
+    table = kselect.metrics_of(rows, models, "vec_id", "vector")
+    digits = {"inertia": 3, "silhouette": 6, "calinski_harabasz": 4, "sil_norm": 4, "ch_norm": 4, "score": 4}
+    return table.select(*[F.round(c, digits[c]).alias(c) if c in digits else c for c in table.columns])
 
 
 @query("svd_reduce")

@@ -30,7 +30,7 @@ def flatten_dash(t):
 
 ODD = """
 SELECT concat('{{"id":', o_orderkey, ',"odd  key.v":"', o_orderstatus, '"', CASE WHEN o_orderkey % 5 = 0 THEN concat(',"Odd  key.v":', o_custkey) ELSE '' END,
-  CASE WHEN o_orderkey % 4 = 0 THEN concat(',"a.b":', o_orderkey) ELSE '' END, ',"a":{{"b":', CASE WHEN o_orderkey % 3 = 0 THEN 'null' ELSE o_custkey END, ',"none":{{}}}}',
+  CASE WHEN o_orderkey % 4 = 0 THEN concat(',"a.b":', o_orderkey) ELSE '' END, ',"a":{{"b":', CASE WHEN o_orderkey % 3 = 0 THEN 'null' ELSE CAST(o_custkey AS STRING) END, ',"none":{{}}}}',
   CASE WHEN o_orderkey % 4 = 2 THEN concat(',"a.b":', o_orderkey) ELSE '' END, '}}') AS doc FROM {orders}
 """
 

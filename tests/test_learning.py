@@ -4,7 +4,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 from pyspark.ml.functions import array_to_vector, vector_to_array
 
-from catalog_spark.operators import cluster, features, kselect, neighbors, project, tfidf
+from catalog_spark.operators import cluster, features, kselect, lloyd, neighbors, project, tfidf
 
 rng = np.random.default_rng(7)
 
@@ -155,16 +155,47 @@ def same_partition(a, b):
 
 def test_kmeans_recovers_blobs(spark):
     x, truth = blobs()
-    df = vectors(spark, x).withColumn("features", array_to_vector("v"))
-    model = cluster.fit_kmeans(df, 3, restarts=3)
-    got = [r.a for r in df.select("id", cluster.nearest_center(cluster.centers_of(model))("v").alias("a")).orderBy("id").collect()]
+    df = vectors(spark, x).cache()
+    centers = cluster.fit_kmeans(df, 3, "id", "v", restarts=3)
+    got = [r.a for r in df.select("id", cluster.nearest_center(centers)("v").alias("a")).orderBy("id").collect()]
     assert same_partition(got, truth)
-    single = min(cluster.fit_kmeans(df, 3, restarts=1, seed=s).summary.trainingCost for s in (42, 43, 44))
-    assert model.summary.trainingCost == pytest.approx(single)
     with pytest.raises(ValueError):
         cluster.fit_kmeans(df, 1)
 
 
+def plain_lloyd(x, centers, steps):
+    for _ in range(steps):
+        own = ((x[:, None] - centers) ** 2).sum(2).argmin(1)
+        centers = np.array([x[own == j].mean(0) if (own == j).any() else centers[j] for j in range(len(centers))])
+    return centers, ((x[:, None] - centers) ** 2).sum(2).min(1).sum()
+
+
+@pytest.mark.parametrize("few", [0, 32])
+def test_runs_that_share_their_passes(spark, monkeypatch, few):
+    x = rng.normal(size=(120, 3)) + 1e6  # far from the origin
+    starts = [x[:2], x[5:9], x[20:21], np.vstack([x[:3], [[0.0, 0.0, 0.0]]])]
+    monkeypatch.setattr(lloyd, "FEW_TASKS", few)
+    fits = lloyd.fit_many(vectors(spark, x).repartition(3).cache(), starts, "v", max_iterations=4, tolerance=0.0)
+    for fit, start in zip(fits, starts):
+        centers, cost = plain_lloyd(x, start, 4)
+        assert np.allclose(fit.centers, centers) and fit.cost == pytest.approx(cost)
+    done = lloyd.fit_many(vectors(spark, x).cache(), [x[:2], x[5:9]], "v")
+    assert all(1 < f.steps < 300 for f in done) and all(np.allclose(plain_lloyd(x, f.centers, 1)[0], f.centers, atol=1e-3) for f in done)
+
+
+def test_starts(spark):
+    x, truth = blobs()
+    df = vectors(spark, x).cache()
+    by_rows = lloyd.row_starts(df, [2, 5], 3, "id", "v")
+    assert [len(s) for own in by_rows for s in own] == [2] * 3 + [5] * 3 and (by_rows[0][1] == by_rows[1][1][:2]).all()
+    for start in lloyd.spread_starts(df, [3], 4, "id", "v")[0]:
+        assert len({truth[((x - c) ** 2).sum(1).argmin()] for c in start}) == 3  # one in each blob
+    same = vectors(spark, np.array([[1.0, 2.0]] * 20 + [[5.0, 5.0]])).cache()
+    assert len(cluster.fit_kmeans(same, 4, "id", "v", restarts=2)) == 2  # as many as there are different rows
+    none = spark.createDataFrame([(1, None)], "id long, v array<double>")
+    assert not len(cluster.fit_kmeans(none, 2, "id", "v", restarts=2))
+
+
 def test_minibatch_recovers_blobs(spark):
     x, truth = blobs()
     df = vectors(spark, x).select("id", "v").cache()
