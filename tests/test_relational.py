@@ -69,6 +69,31 @@ def test_group_quantile_is_exact(spark, prob):
     assert whole == pytest.approx(np.quantile(np.concatenate(list(groups.values())), prob), rel=1e-12)
 
 
+@pytest.mark.parametrize("small,bins", [(1, 2), (3, 4)])
+def test_quantile_by_many_rounds(spark, monkeypatch, small, bins):
+    monkeypatch.setattr(quantiles, "SMALL", small)
+    monkeypatch.setattr(quantiles, "BINS", bins)
+    close = 1.0 + np.arange(40) * np.finfo(float).eps  # neighbours among the doubles
+    groups = {
+        "close": close, "tiny": np.arange(1, 9) * 5e-324, "signs": np.array([-1e308, -3.0, -2.5e-320, 0.0, -0.0, 4.0, 1e308]), "skewed": np.r_[np.full(30, 2.0), 2.0000001],
+        None: np.array([float("-inf"), 1.0, float("inf"), float("inf")]),
+    }
+    df = spark.createDataFrame([(g, float(v)) for g, xs in groups.items() for v in xs], "g string, x double")
+    for prob in (0.0, 0.5, 0.7, 1.0):
+        got = {r.g: r.q for r in quantiles.group_quantile(df, ["g"], "x", prob, "q").collect()}
+        for g, xs in groups.items():
+            at = prob * (len(xs) - 1)
+            low, high = sorted(xs)[int(np.floor(at))], sorted(xs)[int(np.ceil(at))]
+            assert got[g] == (low if low == high else low + (high - low) * (at - np.floor(at)))
+
+
+def test_first_bins_never_fall(spark):
+    x = np.sort(np.r_[np.geomspace(5e-324, 1.7e308, 3000), -np.geomspace(5e-324, 1.7e308, 3000), 0.0, np.inf, -np.inf, np.nextafter(2.0 ** np.arange(-20, 20), 0)])
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(x)], "i int, x double")
+    bins = [r.b for r in df.select("i", quantiles._first_bin(F.col("x")).alias("b")).orderBy("i").collect()]
+    assert bins == sorted(bins)
+
+
 def test_group_mode(rows):
     df = rows([("a", "y"), ("a", "x"), ("a", "y"), ("a", "x"), ("b", None), ("c", None), ("c", "z")], "g string, v string")
     assert {r.g: r.mode for r in quantiles.group_mode(df, ["g"], "v").collect()} == {"a": "x", "b": None, "c": "z"}
