@@ -13,18 +13,20 @@ STATE = "batch long, cluster_id int, weight double, center array<double>"
 
 
 def write_state(spark: SparkSession, path: str, batch: int, centers: np.ndarray, weights: np.ndarray) -> None:
+    """The centres after a batch; without any yet, one row that only says that the batch is done."""
     rows = [(batch, i, float(w), [float(x) for x in c]) for i, (c, w) in enumerate(zip(centers, weights))]
-    spark.createDataFrame(rows, STATE).coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={batch:012d}")
+    spark.createDataFrame(rows or [(batch, -1, 0.0, [])], STATE).coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={batch:012d}")
 
 
 def read_state(spark: SparkSession, path: str, before: int | None = None):
-    """Centres and weights after the last batch (before batch ``before`` if given): k rows."""
-    if before is not None:  # batches are numbered without gaps
+    """Centres and weights after the last batch (before batch ``before`` if given): k rows, or none yet."""
+    if before is not None:  # every batch writes its state, so they are numbered without gaps
         path = f"{path}/batch={before - 1:012d}"
     state = spark.read.schema(STATE).option("recursiveFileLookup", "true").parquet(path)
     last = state.agg(F.max("batch")).scalar()
-    rows = state.where(F.col("batch") == last).orderBy("cluster_id").collect()
-    return np.array([r.center for r in rows], dtype=float), np.array([r.weight for r in rows], dtype=float)
+    rows = state.where((F.col("batch") == last) & (F.col("cluster_id") >= 0)).orderBy("cluster_id").collect()
+    centers = np.array([r.center for r in rows], dtype=float) if rows else np.zeros((0, 0))
+    return centers, np.array([r.weight for r in rows], dtype=float)
 
 
 def track_centroids(
@@ -42,25 +44,27 @@ def track_centroids(
 ) -> StreamingQuery:
     """Update ``k`` centres with every arriving batch; each batch's state is written under its own number.
 
-    A batch that is replayed after a failure starts from the state before it and
-    overwrites its own folder, so it counts once.
+    A batch that is replayed after a failure starts from the state before it and overwrites its own folder, so it counts
+    once.  Rows without a vector, or with null or non-finite components, take no part; a batch without others
+    carries the state over.  Until ``k`` different vectors have arrived there are fewer centres, one each.
     """
 
     def step(batch: DataFrame, number: int) -> None:
-        rows = batch.select(F.col(row_id), as_double(F.col(vector)).alias("__x")).persist()
+        x = F.col("__x")
+        sound = x.isNotNull() & F.forall(x, lambda c: F.coalesce(~F.isnan(c) & (F.abs(c) < float("inf")), F.lit(False)))
+        rows = batch.select(F.col(row_id), as_double(F.col(vector)).alias("__x")).where(sound).persist()
         try:
             session = batch.sparkSession
             centers, weights = (np.zeros((0, 0)), np.zeros(0)) if number == 0 else read_state(session, state, before=number)
             if len(centers) < k:  # the batches so far had too few different rows
-                known = [[float(x) for x in c] for c in centers]
-                fresh = rows.where(~F.col("__x").isin(known)) if known else rows
-                fresh = fresh.groupBy("__x").agg(F.min(row_id).alias(row_id))
+                known = session.createDataFrame([([float(v) for v in c],) for c in centers], "__x array<double>")  # fewer than k
+                fresh = rows.join(F.broadcast(known), "__x", "left_anti").groupBy("__x").agg(F.min(row_id).alias(row_id))
                 more = initial_centers(fresh, k - len(centers), F.col(row_id), "__x", seed)
-                centers = np.vstack([centers, more]) if known and len(more) else (centers if known else more)
-                weights = np.r_[weights, np.zeros(len(centers) - len(weights))]
-            if not len(centers):
-                return
-            centers, weights = batch_update(centers, weights, rows, "__x", decay)
+                if len(more):
+                    centers = np.vstack([centers, more]) if len(centers) else more
+                    weights = np.r_[weights, np.zeros(len(more))]
+            if len(centers):
+                centers, weights = batch_update(centers, weights, rows, "__x", decay)
             write_state(session, state, number, centers, weights)
         finally:
             rows.unpersist()

@@ -152,3 +152,18 @@ def test_stream_centroids(spark, rows, tmp_path):
     assert weights.sum() == 200
     whole = np.array([v for _, v in points])
     assert (centers * weights[:, None]).sum(0) / 200 == pytest.approx(whole.mean(0))
+
+
+def test_stream_centroids_of_poor_batches(spark, tmp_path):
+    """Empty and unusable batches, fewer different rows than centres, and a replayed batch."""
+    schema = "id long, v array<double>"
+    source, state = str(tmp_path / "in"), str(tmp_path / "state")
+    batches = [[], [(1, None), (2, [float("nan"), 1.0]), (3, [1.0, None])], [(4, [0.0, 0.0]), (5, [0.0, 0.0])], [], [(6, [9.0, 9.0]), (7, None)], [(8, [9.0, 7.0])]]
+    sizes = []
+    for i, batch in enumerate(batches):
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(source)
+        track_centroids(spark, source, spark.createDataFrame([], schema).schema, state, str(tmp_path / "cp"), 2, "id", "v").awaitTermination()
+        sizes.append(len(read_state(spark, state)[0]))
+    centers, weights = read_state(spark, state)
+    assert sizes == [0, 0, 1, 1, 2, 2]
+    assert centers.tolist() == [[0.0, 0.0], [9.0, 8.0]] and weights.tolist() == [2.0, 2.0]
