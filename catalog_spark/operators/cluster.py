@@ -98,18 +98,19 @@ def batch_update(centers: np.ndarray, weights: np.ndarray, batch: DataFrame, vec
 
 
 def initial_centers(df: DataFrame, k: int, row_id: Column, vector: str = "vector", seed: int = 42) -> np.ndarray:
-    """``k`` rows chosen by seeded hash order."""
-    rows = df.select(F.col(vector).alias("v")).orderBy(F.xxhash64(row_id, F.lit(seed)), row_id).limit(k).collect()
+    """``k`` rows, the first by a digest of id and seed."""
+    rows = df.select(F.col(vector).alias("v")).orderBy(F.md5(F.concat_ws(":", row_id, F.lit(seed))), row_id).limit(k).collect()
     return np.array([r.v for r in rows], dtype=float)
 
 
 def fit_minibatch(df: DataFrame, k: int, row_id: str, vector: str = "vector", batches: int = 8, epochs: int = 3, seed: int = 42, restarts: int = 1) -> np.ndarray:
-    """Mini-batch k-means over hash-split batches.
+    """Mini-batch k-means over batches split by a digest of the id.
 
     The batches are written as folders of one table, so that an epoch reads every
     row once, for all restarts together.
     """
-    slot = F.pmod(F.xxhash64(F.col(row_id), F.lit(seed)), F.lit(batches)).cast("int")
+    digest = F.md5(F.concat_ws(":", row_id, F.lit(seed)))
+    slot = (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % batches).cast("int")
     folder = work_folder(df.sparkSession, "batches")
     df.select(row_id, vector, slot.alias("__slot")).write.partitionBy("__slot").parquet(folder)
     df = df.sparkSession.read.parquet(folder)

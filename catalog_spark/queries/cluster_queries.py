@@ -220,11 +220,33 @@ def kmeans_fit(t):
     return by_first_row(rows.select("vec_id", cluster.nearest_center(cluster.fit_kmeans(rows, 10, "vec_id"))("vector").alias("cluster_id")), "vec_id")
 
 
-@query("minibatch_kmeans_assign")
+def batches_sql(steps: list[str]) -> str:
+    """Relations c1, c2, ... (run, j, c, w) from c0: each step moves the centres by the means of the rows of ``v`` that a condition picks."""
+    parts = []
+    for i, picked in enumerate(steps):
+        parts.append(f"a{i} AS MATERIALIZED (SELECT run, any_value(e) AS e, min({{'d': list_distance(e, c), 'j': j}}) AS m FROM v, c{i} WHERE {picked} GROUP BY run, vec_id)")
+        parts.append(f"""c{i + 1} AS MATERIALIZED (SELECT o.run, o.j, o.w + coalesce(b.n, 0) AS w,
+            CASE WHEN b.n IS NULL THEN o.c ELSE list_transform(list_zip(o.c, b.c), lambda p: (p[1] * o.w + p[2] * b.n) / (o.w + b.n)) END AS c
+          FROM c{i} o LEFT JOIN (SELECT run, j, list(x ORDER BY p) AS c, any_value(n) AS n FROM (SELECT run, j, p, avg(x) AS x, count(*) AS n FROM (
+            SELECT run, m.j AS j, unnest(e) AS x, generate_subscripts(e, 1) AS p FROM a{i}) GROUP BY run, j, p) GROUP BY run, j) b USING (run, j))""")
+    return ", ".join(parts)
+
+
+@query(
+    "minibatch_kmeans_assign",
+    f"""WITH v AS MATERIALIZED (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, CAST('0x' || md5(concat(vec_id, ':42'))[1:8] AS BIGINT) % 8 AS slot FROM embeddings),
+    c0 AS MATERIALIZED (SELECT run, j, c, 0 AS w FROM (SELECT run, e AS c, row_number() OVER (PARTITION BY run ORDER BY md5(concat(vec_id, ':', 42 + run)), vec_id) - 1 AS j FROM v, range(20) AS r(run)) WHERE j < 10),
+    {batches_sql([f"slot = {b}" for _ in range(3) for b in range(8)])},
+    last AS MATERIALIZED (SELECT run, vec_id, min({{'d': list_distance(e, c), 'j': j}}) AS m FROM v, c24 GROUP BY run, vec_id),
+    best AS (SELECT arg_min(run, (cost, run)) AS run FROM (SELECT run, sum(m.d ** 2) AS cost FROM last GROUP BY run)),
+    firsts AS (SELECT m.j AS j, row_number() OVER (ORDER BY min(vec_id)) - 1 AS number FROM last JOIN best USING (run) GROUP BY m.j)
+    SELECT vec_id, CAST(number AS INTEGER) AS cluster_id FROM last JOIN best USING (run) JOIN firsts ON firsts.j = last.m.j""",
+)
 def minibatch_kmeans_assign(t):
+    """Eight batches, three epochs, the best of 20 restarts."""
     rows = materialize(fx.vectors(t).select("vec_id", "vector"), "vectors")
-    centers = cluster.fit_minibatch(rows, 10, "vec_id", batches=4, epochs=2)
-    return rows.select("vec_id", cluster.nearest_center(centers)("vector").alias("cluster_id"))
+    centers = cluster.fit_minibatch(rows, 10, "vec_id", restarts=cluster.FINAL_RESTARTS)
+    return by_first_row(rows.select("vec_id", cluster.nearest_center(centers)("vector").alias("cluster_id")), "vec_id")
 
 
 @query(
@@ -264,13 +286,21 @@ def project_2d(t):
     return project.project_2d(feature_rows(t), "vec_id")
 
 
-@query("stream_minibatch_centroids")
+@query(
+    "stream_minibatch_centroids",
+    f"""WITH v AS MATERIALIZED (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+    c0 AS MATERIALIZED (SELECT 0 AS run, j, c, 0 AS w FROM (
+      SELECT e AS c, row_number() OVER (ORDER BY md5(concat(vec_id, ':42')), vec_id) - 1 AS j FROM (SELECT e, min(vec_id) AS vec_id FROM v WHERE vec_id % 4 = 0 GROUP BY e)) WHERE j < 10),
+    {batches_sql([f"vec_id % 4 = {b}" for b in range(4)])}
+    SELECT vec_id, CAST(min({{'d': list_distance(e, c), 'j': j}}).j AS INTEGER) AS cluster_id FROM v, c4 GROUP BY vec_id""",
+)
 def stream_minibatch_centroids(t):
     """The vectors arrive in four files; each is one batch."""
     from ..streaming.centroids import read_state, track_centroids
 
     source, state, checkpoint = (work_folder(t.spark, n) for n in ("arrivals", "state", "progress"))
-    t.embeddings.repartition(4, "vec_id").write.parquet(source)
+    for b in range(4):
+        t.embeddings.where(F.col("vec_id") % 4 == b).coalesce(1).write.mode("append").parquet(source)
     track_centroids(t.spark, source, t.embeddings.schema, state, checkpoint, 10, "vec_id", "embedding", max_files=1).awaitTermination()
     centers, _ = read_state(t.spark, state)
     rows = fx.vectors(t)
