@@ -16,6 +16,8 @@ from .skew import lookup_join
 # Restarts of a final fit and of a fit within the sweep over K.
 FINAL_RESTARTS = 20
 SWEEP_RESTARTS = 10
+CENTER_ROWS = 2048  # centres in one matrix product
+CHUNK_VALUES = 1 << 24  # numbers of the centres that are sent at once: 128 MB
 
 
 def fit_kmeans(df: DataFrame, k: int, row_id: str = "row_id", vector: str = "vector", restarts: int = FINAL_RESTARTS, seed: int = 42) -> np.ndarray:
@@ -68,18 +70,46 @@ def centroid_distance(df: DataFrame, centroids: DataFrame, cluster: str = "clust
     return joined.withColumn("cluster_dist", distance(F.col(vector), F.col("__center"))).drop("__center")
 
 
-def collect_centers(centroids: DataFrame, cluster: str = "cluster_id", limit: int = 20_000) -> tuple[list[int], np.ndarray]:
-    """Centre table to the driver, refused when it is not a small one."""
-    rows = centroids.select(cluster, "center").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} centres")
-    rows.sort(key=lambda r: r[0])
-    return [r[0] for r in rows], np.array([r[1] for r in rows], dtype=float)
+def _nearer(ids: np.ndarray, centers: np.ndarray):
+    """Arrow function: the nearest of some centres, or what was found before if that is nearer; ties to the lowest id."""
+    order = np.argsort(ids)
+    ids, centers = ids[order], centers[order]
 
+    @F.pandas_udf("d double, id long")
+    def better(vectors: pd.Series, best: pd.DataFrame) -> pd.DataFrame:
+        d, found = best["d"].to_numpy(float, na_value=np.inf).copy(), best["id"].to_numpy(float, na_value=np.inf).copy()
+        known = np.flatnonzero(vectors.notna().to_numpy())
+        if len(known):
+            x = np.stack(vectors.to_numpy()[known])
+            for low in range(0, len(centers), CENTER_ROWS):
+                table = centers[low : low + CENTER_ROWS]
+                middle = table.mean(axis=0)
+                at = blocks.squared_distances(x - middle, table - middle).argmin(axis=1)
+                exact, name = ((x - table[at]) ** 2).sum(axis=1), ids[low + at]
+                nearer = (exact < d[known]) | ((exact == d[known]) & (name < found[known]))
+                d[known[nearer]], found[known[nearer]] = exact[nearer], name[nearer]
+        there = np.isfinite(found)
+        return pd.DataFrame({"d": d, "id": pd.Series(np.where(there, found, 0).astype("int64"), dtype="Int64").mask(~there)})
 
-def assign_nearest(df: DataFrame, centroids: DataFrame, vector: str = "vector", output: str = "cluster_id") -> DataFrame:
-    ids, centers = collect_centers(centroids)
-    return df.withColumn(output, nearest_center(centers, ids)(F.col(vector)))
+    return better
+
+
+def assign_nearest(df: DataFrame, centroids: DataFrame, vector: str = "vector", output: str = "cluster_id", chunk_values: int = CHUNK_VALUES) -> DataFrame:
+    """The id of the nearest of any number of centres beside each row, the lowest on ties, null without vector or centres.
+
+    Rows do not move.  The centres (cluster_id, center) go to the tasks in chunks of ``chunk_values`` numbers, each compared
+    by matrix products block by block, so what is sent or held at once does not grow with their number.
+    """
+    sizes = centroids.agg(F.count("*").alias("n"), F.max(F.size("center")).alias("width")).first()
+    chunks = -(-sizes.n * (sizes.width or 0) // chunk_values) or 1
+    best = F.struct(F.lit(None).cast("double").alias("d"), F.lit(None).cast("long").alias("id"))
+    df = df.withColumn("__best", best)
+    for c in range(chunks):
+        part = centroids.where(F.pmod(F.xxhash64("cluster_id"), F.lit(chunks)) == c).select("cluster_id", "center").collect()
+        if part:
+            nearer = _nearer(np.array([r.cluster_id for r in part]), np.array([r.center for r in part], dtype=float))
+            df = df.withColumn("__best", nearer(F.col(vector), F.col("__best")))
+    return df.withColumn(output, F.col("__best.id").cast(centroids.schema["cluster_id"].dataType)).drop("__best")
 
 
 def batch_update(centers: np.ndarray, weights: np.ndarray, batch: DataFrame, vector: str = "vector", decay: float = 1.0):

@@ -196,6 +196,20 @@ def test_starts(spark):
     assert not len(cluster.fit_kmeans(none, 2, "id", "v", restarts=2))
 
 
+def test_nearest_of_many_centres(spark, monkeypatch):
+    monkeypatch.setattr(cluster, "CENTER_ROWS", 7)
+    x, c = rng.normal(size=(80, 3)), rng.normal(size=(60, 3))
+    c[41] = c[3]  # equal centres: the lower id
+    x[0], x[1] = c[3], 1e5
+    centers = spark.createDataFrame([(100 - i, [float(v) for v in r]) for i, r in enumerate(c)], "cluster_id int, center array<double>")
+    rows = vectors(spark, x).select("id", "v").unionByName(spark.createDataFrame([(500, None)], "id long, v array<double>"))
+    d = ((x[:, None] - c) ** 2).sum(axis=2)
+    want = {i: min((d[i, j], 100 - j) for j in range(60))[1] for i in range(80)} | {500: None}
+    for chunk in (1 << 24, 40):
+        assert {r.id: r.near for r in cluster.assign_nearest(rows, centers, "v", "near", chunk).collect()} == want
+    assert {r.near for r in cluster.assign_nearest(rows, centers.limit(0), "v", "near").collect()} == {None}
+
+
 def test_minibatch_recovers_blobs(spark):
     x, truth = blobs()
     df = vectors(spark, x).select("id", "v").cache()
