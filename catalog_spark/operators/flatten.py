@@ -281,7 +281,7 @@ def key_values(docs: DataFrame, text: str, key: str, keep_columns: list[str], al
     written = F.to_json(F.try_parse_json(F.trim(text)))
     wanted = json.dumps(key, ensure_ascii=False) + ":"
     entries = F.filter(F.regexp_extract_all(written, F.lit(JSON_ENTRY), F.lit(0)), lambda e: e.startswith(wanted))
-    found = docs.where(F.col(text).contains(key) | F.col(text).contains("\\u")).select(*keep_columns, F.explode(entries).alias("__e"))
+    found = docs.where(F.col(text).contains(key) | F.col(text).contains("\\u")).select(*keep_columns, F.explode_outer(entries).alias("__e"))  # a plain explode would work them out twice
     value = F.substring(F.col("__e"), F.lit(len(wanted) + 1), F.length("__e"))
     plain = (
         F.when(value.startswith('"'), F.variant_get(F.try_parse_json(value), "$", "string"))
