@@ -112,7 +112,7 @@ def domains(labels: DataFrame) -> DataFrame:
 def _mixing(t):
     """Rates and copies of all documents so that the expected tokens of the domains match the targets."""
     model = mixing.fit_domains(t.documents, domains(t.labels))
-    return mixing.mix(t.documents, model, TARGETS).drop("row")
+    return mixing.mix(t.documents, model, TARGETS).drop("row", "check")
 
 
 @query("op2_language_id")

@@ -173,6 +173,59 @@ def test_mixing(tables):
 
 def test_rates_stop_at_zero(spark):
     members = spark.createDataFrame([(10, [1.0, 0.0]), (10, [0.0, 1.0]), (0, [0.5, 0.5])], "tokens long, p array<double>")
-    steps, reached, wanted = mixing.fit_steps(members, ["a", "b"], {"a": 1.0})
-    assert np.allclose(wanted, [20, 0]) and np.allclose(reached, wanted, atol=0.02)
-    assert (mixing._rates(np.array([[1.0, 0], [0, 1.0]]), steps) >= 0).all()
+    fit = mixing.fit_steps(members, ["a", "b"], {"a": 1.0})
+    assert fit.met and np.allclose(fit.wanted, [20, 0]) and np.allclose(fit.reached, fit.wanted, atol=0.02)
+    assert (mixing._rates(np.array([[1.0, 0], [0, 1.0]]), fit.steps)[0] >= 0).all()
+
+
+def closest(p, tokens, wanted):
+    """Brute force: the totals of the cone of the documents that are closest to the targets, K being 2."""
+    weight = 1 / np.einsum("i,ij,ij->j", tokens, p, p)
+    best = None
+    for a in range(len(p)):
+        for b in range(a, len(p)):
+            rays = p[[a, b]].T * np.sqrt(weight)[:, None]
+            r = np.linalg.lstsq(rays, wanted * np.sqrt(weight), rcond=None)[0]
+            options = [np.maximum(0, r)] if (r >= 0).all() else []
+            options += [np.eye(2)[i] * max(0.0, rays[:, i] @ (wanted * np.sqrt(weight)) / (rays[:, i] ** 2).sum()) for i in range(2)]
+            for o in options:
+                cost = ((rays @ o - wanted * np.sqrt(weight)) ** 2).sum()
+                if best is None or cost < best[0]:
+                    best = (cost, p[[a, b]].T @ o)
+    return best[1]
+
+
+@pytest.mark.parametrize("posteriors, share", [([(0.6, 0.4), (0.55, 0.45), (0.5, 0.5)], 0.9), ([(0.52, 0.48), (0.45, 0.55), (0.5, 0.5)], 0.51)])
+def test_overlapping_posteriors(spark, posteriors, share):
+    """Targets out of reach end at the closest totals and say so; those just in reach are met."""
+    members = spark.createDataFrame([(10, list(p)) for p in posteriors], "tokens long, p array<double>")
+    fit = mixing.fit_steps(members, ["a", "b"], {"a": share, "b": 1 - share})
+    p, tokens = np.array(posteriors), np.full(len(posteriors), 10.0)
+    assert fit.met == (share < 0.52)
+    assert np.allclose(fit.reached, closest(p, tokens, fit.wanted), atol=mixing.PROOF * 30)
+    early = mixing.fit_steps(members, ["a", "b"], {"a": 0.9, "b": 0.1}, most=2)
+    assert early.taken == 2 and not early.met
+
+
+def test_mixing_reports_missed_targets(spark):
+    docs = spark.createDataFrame([(i, "one two three", "en", "s", 13) for i in range(6)], DOCS)
+    labels = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(6)], "doc_id long, domain string")
+    model = mixing.fit_domains(docs, labels)
+    rows = mixing.mix(docs, model, {"a": 1.0}).collect()
+    assert all(r["wanted"] != pytest.approx(r["reached"], rel=0.01) for r in rows)
+    with pytest.raises(ValueError, match="no rates meet"):
+        mixing.mix(docs, model, {"a": 1.0}, strict=True)
+
+
+def test_mixing_with_clashing_columns_and_repeated_rows(tables):
+    docs, labels, _ = tables
+    domain = F.when(F.col("toxic") == 1, "toxic").otherwise("good").alias("domain")
+    wide = docs.withColumns({n: F.lit(n) for n in ("domain", "row", "check", "t", "kept", "copy", "copies", "__copies", "__key", "__id", "__doc", "__text", "tokens", "p", "now", "last")})
+    model = mixing.fit_domains(wide.unionByName(wide), labels.select("doc_id", domain))
+    plain = mixing.fit_domains(docs, labels.select("doc_id", domain))
+    assert (model.weights == plain.weights).all()  # copies of a labelled row count once
+    got = mixing.mixed(wide, model, {"good": 0.5, "toxic": 0.5})
+    assert got.columns == wide.columns
+    want = mixing.mixed(docs, model, {"good": 0.5, "toxic": 0.5})
+    assert sorted(map(str, got.select(docs.columns).collect())) == sorted(map(str, want.collect()))
+    assert {(r["domain"], r["__copies"], r["__key"]) for r in got.collect()} == {("domain", "__copies", "__key")}
