@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Window, functions as F
 
-from ..operators import cluster, kselect, lloyd, neighbors, project, summary
+from ..operators import cluster, features, kselect, lloyd, neighbors, project, summary
 from ..plans.catalog import product_report
 from ..session import materialize, work_folder
 from . import fixtures as fx
@@ -274,16 +274,58 @@ def k_metrics_table(t):
     return table.select(*[F.round(c, digits[c]).alias(c) if c in digits else c for c in table.columns])
 
 
-@query("svd_reduce")
+def components_sql(k: int, squarings: int = 18) -> str:
+    """Relations ``v`` (vec_id, e) and ``scores`` (vec_id, c, x): the rows times the ``k`` leading eigenvectors of their products.
+
+    A power of the Gram matrix by repeated squaring has the leading eigenvector in its columns; it is then taken out.
+    """
+    parts = [
+        """v AS MATERIALIZED (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+    cells AS MATERIALIZED (SELECT vec_id, unnest(e) AS x, generate_subscripts(e, 1) AS i FROM v),
+    g0 AS MATERIALIZED (SELECT a.i, b.i AS j, sum(a.x * b.x) AS x FROM cells a JOIN cells b USING (vec_id) GROUP BY ALL)"""
+    ]
+    for c in range(k):
+        last = f"g{c}"
+        for s in range(squarings):
+            parts.append(f"p{c}_{s} AS MATERIALIZED (SELECT i, j, x / max(abs(x)) OVER () AS x FROM (SELECT a.i, b.j, sum(a.x * b.x) AS x FROM {last} a JOIN {last} b ON a.j = b.i GROUP BY ALL))")
+            last = f"p{c}_{s}"
+        parts.append(
+            f"""u{c} AS MATERIALIZED (SELECT i, x / sqrt(sum(x * x) OVER ()) * sign(max_by(x, abs(x)) OVER ()) AS x FROM {last}
+      WHERE j = (SELECT j FROM {last} GROUP BY j ORDER BY sum(x * x) DESC LIMIT 1)),
+    l{c} AS MATERIALIZED (SELECT sum(a.x * g{c}.x * b.x) AS x FROM g{c} JOIN u{c} a USING (i) JOIN u{c} b ON g{c}.j = b.i),
+    g{c + 1} AS MATERIALIZED (SELECT g{c}.i, j, g{c}.x - l{c}.x * a.x * b.x AS x FROM g{c} JOIN u{c} a USING (i) JOIN u{c} b ON g{c}.j = b.i, l{c})"""
+        )
+    scores = " UNION ALL ".join(f"SELECT vec_id, {c} AS c, sum(cells.x * u.x) AS x FROM cells JOIN u{c} u USING (i) GROUP BY vec_id" for c in range(k))
+    return ",\n    ".join([*parts, f"scores AS MATERIALIZED ({scores})"])
+
+
+@query("svd_reduce", f"WITH {components_sql(8)} SELECT vec_id, {', '.join(f'round(sum(x) FILTER (c = {c}), 6) AS svd_{c}' for c in range(8))} FROM scores GROUP BY vec_id")
 def svd_reduce(t):
     rows = feature_rows(t)
     reduced = project.fit_svd(rows, 8, "vec_id").transform(rows, "vec_id")
     return reduced.select("vec_id", *[F.round(F.get("reduced", F.lit(i)), 6).alias(f"svd_{i}") for i in range(8)])
 
 
-@query("project_2d")
+@query(
+    "svd_full_rank",
+    """WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)
+    SELECT v.vec_id, round(sqrt(list_sum(list_transform(v.e, lambda x: x * x))), 6) AS norm, round(list_distance(v.e, f.e), 6) AS to_first
+    FROM v, (SELECT e FROM v ORDER BY vec_id LIMIT 1) f""",
+)
+def svd_full_rank(t):
+    """Reduced to as many dimensions as there are, rows keep their norms and distances."""
+    rows = feature_rows(t)
+    dims = features.vector_size(rows, "features")
+    reduced = project.fit_svd(rows, dims, "vec_id").transform(rows, "vec_id")
+    first = reduced.orderBy("vec_id").limit(1).select(F.col("reduced").alias("f"))
+    norm = lambda v: F.round(F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x)), 6)
+    return reduced.join(F.broadcast(first)).select("vec_id", norm(F.col("reduced")).alias("norm"), norm(F.zip_with("reduced", "f", lambda a, b: a - b)).alias("to_first"))
+
+
+@query("project_2d", f"WITH {components_sql(2)} SELECT vec_id, round(sum(x) FILTER (c = 0), 6) AS proj_x, round(sum(x) FILTER (c = 1), 6) AS proj_y FROM scores GROUP BY vec_id")
 def project_2d(t):
-    return project.project_2d(feature_rows(t), "vec_id")
+    flat = project.project_2d(feature_rows(t), "vec_id")
+    return flat.select("vec_id", F.round("proj_x", 6).alias("proj_x"), F.round("proj_y", 6).alias("proj_y"))
 
 
 @query(

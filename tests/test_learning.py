@@ -1,7 +1,8 @@
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
-from pyspark.sql import functions as F
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql import functions as F, types as T
 from pyspark.ml.functions import array_to_vector, vector_to_array
 
 from catalog_spark.operators import cluster, features, kselect, lloyd, neighbors, project, tfidf
@@ -240,6 +241,39 @@ def test_svd_equals_numpy(spark):
     assert [abs(r.proj_y) for r in flat] == pytest.approx(list(np.abs(want[:, 1])), rel=1e-5, abs=1e-6)
 
 
+def test_svd_of_sparse_wide_rows(spark, monkeypatch):
+    """Fewer directions than columns, sparse and dense rows together, a null and an empty one, small parts and pieces."""
+    monkeypatch.setattr(project, "OVERSAMPLING", 8)
+    monkeypatch.setattr(project, "PIECE_ROWS", 16)
+    monkeypatch.setattr(project, "CELLS", 200)
+    m, n, k = 120, 60, 5
+    x = (rng.normal(size=(m, 6)) * [50, 30, 20, 12, 7, 2]) @ rng.normal(size=(6, n)) * (rng.random((m, n)) < 0.6)
+    x[3] = 0
+    rows = [(i, Vectors.dense(r) if i % 3 else Vectors.sparse(n, {int(j): float(r[j]) for j in np.flatnonzero(r)})) for i, r in enumerate(x)]
+    df = spark.createDataFrame([*rows, (m, None)], T.StructType([T.StructField("id", T.LongType()), T.StructField("features", VectorUDT())])).repartition(7)
+    fit = project.fit_svd(df, k, "id", passes=30)
+    u, s, vt = np.linalg.svd(x, full_matrices=False)
+    assert fit.singular_values == pytest.approx(s[:k], rel=1e-5)
+    got = {r.id: r.reduced for r in fit.transform(df, "id").collect()}
+    assert got.pop(m) is None and got[3] == [0.0] * k
+    assert np.abs([got[i] for i in range(m)]) == pytest.approx(np.abs(u[:, :k] * s[:k]), rel=1e-2, abs=1e-2 * s[0])
+    few = project.fit_svd(df, k, "id")  # the default number of passes
+    assert few.singular_values == pytest.approx(s[:k], rel=2e-2)
+
+
+def test_svd_of_poor_tables(spark):
+    """No rows, only nulls, one row, fewer rows than columns: no crash, zeros beyond the rank."""
+    empty = spark.createDataFrame([], "id long, features array<double>")
+    assert project.project_2d(empty, "id").count() == 0
+    nulls = spark.createDataFrame([(1, None)], "id long, features array<double>")
+    assert [(r.proj_x, r.proj_y) for r in project.project_2d(nulls, "id").collect()] == [(None, None)]
+    one = spark.createDataFrame([(1, [3.0, 4.0, 0.0]), (2, [3.0, 4.0, 0.0])], "id long, features array<double>")
+    assert [(r.proj_x, r.proj_y) for r in project.project_2d(one, "id").collect()] == [(pytest.approx(5), pytest.approx(0, abs=1e-9))] * 2
+    assert project.fit_svd(one, 9, "id").singular_values == pytest.approx([50**0.5, 0, 0], abs=1e-9)
+    with pytest.raises(Exception, match="components among"):
+        project.project_2d(one.unionByName(spark.createDataFrame([(3, [1.0])], "id long, features array<double>")), "id").collect()
+
+
 def test_numeric_scaler(rows):
     df = rows([("1", None, 4.0, 1.0), ("3", None, 4.0, None), ("x", None, 4.0, 3.0)], "a string, empty double, flat double, b double")
     fit = features.fit_numeric(df, ["a", "empty", "flat", "b"])
