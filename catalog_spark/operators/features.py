@@ -182,9 +182,12 @@ def weighted_long(blocks: list[tuple[DataFrame | None, float]]) -> DataFrame:
     return reduce(DataFrame.unionByName, kept)
 
 
-def assemble(df: DataFrame, blocks: list[tuple[str, float]], output: str = "features") -> DataFrame:
-    """Vector columns (or ARRAY<DOUBLE> columns), each scaled by its weight, as one vector."""
-    from pyspark.ml.feature import ElementwiseProduct
+def assemble(df: DataFrame, blocks: list[tuple[str, float]], output: str = "features", sizes: dict[str, int] | None = None) -> DataFrame:
+    """Vector columns (or ARRAY<DOUBLE> columns), each scaled by its weight, as one vector.
+
+    Without the ``sizes`` of the blocks a first row has to be there to tell them.
+    """
+    from pyspark.ml.feature import ElementwiseProduct, VectorSizeHint
     from pyspark.ml.linalg import DenseVector, VectorUDT
 
     kinds = {f.name: f.dataType for f in df.schema.fields}
@@ -195,7 +198,7 @@ def assemble(df: DataFrame, blocks: list[tuple[str, float]], output: str = "feat
             if weight == 1.0:
                 inputs.append(name)
                 continue
-            size = vector_size(df, name)
+            size = sizes[name] if sizes else vector_size(df, name)
             df = ElementwiseProduct(inputCol=name, outputCol=out, scalingVec=DenseVector([weight] * size)).transform(df)
         else:
             df = df.withColumn(out, array_to_vector(scale(as_double(F.col(name)), weight)))
@@ -203,6 +206,9 @@ def assemble(df: DataFrame, blocks: list[tuple[str, float]], output: str = "feat
         scratch.append(out)
     if not inputs:
         raise ValueError("no feature block: check the column lists and the input")
+    if sizes:
+        for column, (name, _) in zip(inputs, blocks):
+            df = VectorSizeHint(inputCol=column, size=sizes[name], handleInvalid="error").transform(df)
     return VectorAssembler(inputCols=inputs, outputCol=output, handleInvalid="error").transform(df).drop(*scratch)
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.ml.functions import vector_to_array
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import spec
 from ..functions.text import corpus
-from ..operators import cluster, embedded, features, kselect, neighbors, profile, project, relate, summary, tfidf
+from ..operators import cluster, embedded, features, fitted, kselect, neighbors, profile, project, relate, summary, tfidf
 from ..session import materialize, ship_package
 from ..sources.sinks import write_enriched, write_if_wanted
 from .cleaning import add_price_band, clean_products
@@ -54,6 +54,7 @@ class ClusterResult:
     null_profile: DataFrame
     inf_profile: DataFrame
     matrix_audit: DataFrame
+    model: fitted.FittedModel  # to be kept by ``fitted.save`` and applied by ``score_products``
 
 
 def numbered(df: DataFrame) -> DataFrame:
@@ -69,54 +70,55 @@ def with_parsed_text(df: DataFrame, columns) -> DataFrame:
     return df.withColumns({spec.parsed(c): F.coalesce(embedded.json_text(F.col(c)), F.col(c)) for c in found})
 
 
-def text_block(df: DataFrame, columns: tuple[str, ...], options: ClusterOptions, encoder=None):
-    """(row_id, txt_features) as ARRAY<DOUBLE> or vector, and the term table of the block."""
-    texts = df.select("row_id", corpus([F.col(c).cast("string") for c in columns]).alias("__text"))
-    if options.text_mode == "encoder":
-        vectors = materialize(features.encode_text(texts, "__text", encoder, "txt_features").drop("__text"), "embeddings")
-        first = vectors.first()
-        names = [(i, f"embed_{i}") for i in range(len(first.txt_features) if first else 0)]
-        return vectors, df.sparkSession.createDataFrame(names, "position int, term string")
-    counts = materialize(tfidf.term_counts(texts, "row_id", "__text"), "counts")
-    fit = tfidf.fit_tfidf(counts, texts.count(), options.min_df, options.max_features)
-    if fit.vocabulary.isEmpty():
-        return None, None
-    vectors = fit.model("grams", "txt_features").transform(tfidf.with_ngrams(texts, "__text")).select("row_id", "txt_features")
-    terms = fit.vocabulary.select("position", "term")
-    size = terms.count()
-    if options.svd_dimensions and size > options.svd_dimensions:
-        vectors = materialize(vectors, "terms")
-        vectors = project.fit_svd(vectors, options.svd_dimensions, "row_id", "txt_features").transform(vectors, "row_id", "txt_features", "__r")
-        vectors = vectors.withColumnRenamed("__r", "txt_features")
-        names = [(i, f"svd_{i}") for i in range(options.svd_dimensions)]
-        terms = df.sparkSession.createDataFrame(names, "position int, term string")
-    return vectors, terms
-
-
-def feature_matrix(df: DataFrame, found: spec.FeatureSpec, options: ClusterOptions, encoder=None) -> tuple[DataFrame, DataFrame]:
-    """(row_id, features) with the weighted blocks in one vector, and the feature dictionary."""
-    w_num, w_cat, w_txt = options.weights
-    blocks, names, categories, terms = [], [], None, None
-    rows = df
+def fit_features(df: DataFrame, found: spec.FeatureSpec, options: ClusterOptions, encoder=None) -> tuple[fitted.FittedModel, DataFrame | None]:
+    """The fitted blocks, without centres, and the names (position, term) of the text features."""
+    model = fitted.FittedModel(weights=options.weights)
     if found.numeric:
         fit = features.fit_numeric(df, found.numeric)
-        if fit.columns:
-            rows = fit.transform(rows).withColumn("num_features", F.array(*[F.col(n) for n in fit.feature_names]))
-            names = fit.feature_names
-            blocks.append(("num_features", w_num))
+        model = replace(model, numeric=fit if fit.columns else None)
     if found.categorical:
-        categories = features.fit_categories(df, found.categorical)
-        rows = categories.transform(rows, "cat_features")
-        blocks.append(("cat_features", w_cat))
-    rows = rows.select("row_id", *[b for b, _ in blocks])
-    if found.text and options.text_mode != "none":
-        vectors, terms = text_block(df, found.text, options, encoder)
-        if vectors is not None:
-            rows = rows.join(vectors, "row_id")
-            blocks.append(("txt_features", w_txt))
-    rows = materialize(rows, "blocks")
-    matrix = materialize(features.assemble(rows, blocks).select("row_id", "features"), "matrix")
-    return matrix, features.feature_dictionary(names, categories, terms, df)
+        model = replace(model, categories=features.fit_categories(df, found.categorical))
+    if not found.text or options.text_mode == "none":
+        return model, None
+    texts = df.select("row_id", corpus([F.col(c).cast("string") for c in found.text]).alias("__text"))
+    if options.text_mode == "encoder":
+        first = features.encode_text(texts.limit(1), "__text", encoder, "v").first()
+        names = [(i, f"embed_{i}") for i in range(len(first.v) if first else 0)]
+        return replace(model, text=found.text, encoded=True), df.sparkSession.createDataFrame(names, "position int, term string")
+    counts = materialize(tfidf.term_counts(texts, "row_id", "__text"), "counts")
+    fit = tfidf.fit_tfidf(counts, texts.count(), options.min_df, options.max_features)
+    size = fit.vocabulary.count()
+    if not size:
+        return model, None
+    model = replace(model, text=found.text, vocabulary=fit)
+    if not options.svd_dimensions or size <= options.svd_dimensions:
+        return model, fit.vocabulary.select("position", "term")
+    vectors = materialize(fit.model("grams", "txt_features").transform(tfidf.with_ngrams(texts, "__text")).select("row_id", "txt_features"), "terms")
+    svd = project.fit_svd(vectors, options.svd_dimensions, "row_id", "txt_features")
+    names = [(i, f"svd_{i}") for i in range(len(svd.singular_values))]
+    return replace(model, svd=svd), df.sparkSession.createDataFrame(names, "position int, term string")
+
+
+def feature_matrix(df: DataFrame, found: spec.FeatureSpec, options: ClusterOptions, encoder=None) -> tuple[fitted.FittedModel, DataFrame, DataFrame]:
+    """The fitted model, (row_id, features) with the weighted blocks in one vector, and the feature dictionary."""
+    model, terms = fit_features(df, found, options, encoder)
+    rows, blocks = model.blocks(df, "row_id", encoder)
+    matrix = materialize(features.assemble(materialize(rows, "blocks"), blocks, sizes=model.sizes()).select("row_id", "features"), "matrix")
+    names = model.numeric.feature_names if model.numeric else []
+    return model, matrix, features.feature_dictionary(names, model.categories, terms, df)
+
+
+def prepared(raw: DataFrame, text_columns=spec.TEXT_COLUMNS) -> DataFrame:
+    """Cleaned products with parsed text and a row id: what the model is fitted on, and what it scores."""
+    return numbered(with_parsed_text(clean_products(raw), text_columns))
+
+
+def score_products(model: fitted.FittedModel, raw: DataFrame, text_columns=spec.TEXT_COLUMNS, encoder=None) -> DataFrame:
+    """Other products cleaned and placed by a kept model: all their columns, with cluster_id and cluster_dist."""
+    ship_package(raw.sparkSession)
+    df = prepared(raw, text_columns)
+    placed = model.score(df, "row_id", encoder).select("row_id", "cluster_id", "cluster_dist")
+    return relate.align(df, placed, ["row_id"])
 
 
 def cluster_products(raw: DataFrame, options: ClusterOptions = ClusterOptions(), encoder=None) -> ClusterResult:
@@ -131,12 +133,12 @@ def cluster_products(raw: DataFrame, options: ClusterOptions = ClusterOptions(),
     if options.sample:
         keys = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in raw.columns]
         raw = summary.seeded_sample(raw, F.concat_ws("|", *keys), options.sample, options.seed)
-    df = numbered(with_parsed_text(clean_products(raw), options.text.split("|") if options.text else spec.TEXT_COLUMNS))
+    df = prepared(raw, options.text.split("|") if options.text else spec.TEXT_COLUMNS)
     found = spec.FeatureSpec.from_options(options.numeric, options.categorical, options.text, options.weights).resolve(df)
     checked = [*found.numeric, *found.categorical]
     numbers = df.select("row_id", *features.as_numbers(df, found.numeric))
     nulls, infinite = profile.null_profile(df, "row_id", checked), profile.inf_profile(numbers, "row_id")
-    matrix, dictionary = feature_matrix(df, found, options, encoder)
+    model, matrix, dictionary = feature_matrix(df, found, options, encoder)
     vectors = matrix.withColumn("vector", vector_to_array("features")).persist()
     try:
         metrics = None
@@ -155,7 +157,8 @@ def cluster_products(raw: DataFrame, options: ClusterOptions = ClusterOptions(),
     finally:
         vectors.unpersist()
     table = summary.cluster_summary(_with(enriched, spec.MAX_PRICE_CHAIN[0], "double"))
-    return ClusterResult(enriched, table, metrics, k, dictionary, nulls, infinite, audit_matrix(matrix, dictionary))
+    model = replace(model, centers=fitted.center_table(raw.sparkSession, centers))
+    return ClusterResult(enriched, table, metrics, k, dictionary, nulls, infinite, audit_matrix(matrix, dictionary), model)
 
 
 def audit_matrix(matrix: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -173,8 +176,7 @@ def diagnose(df: DataFrame, vectors: DataFrame, centers: np.ndarray, options: Cl
     """Cluster, distance, outlier flag, neighbours, label, price band and projection beside the rows."""
     spark = df.sparkSession
     assigned = vectors.withColumn("cluster_id", cluster.nearest_center(centers)("vector"))
-    table = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(centers)], "cluster_id int, center array<double>")
-    placed = materialize(cluster.centroid_distance(assigned, table), "placed")
+    placed = materialize(cluster.centroid_distance(assigned, fitted.center_table(spark, centers)), "placed")
     flagged = summary.outlier_flag(placed, approximate=options.approximate_cuts)
     result = relate.align(df, flagged.select("row_id", "cluster_id", "cluster_dist", "cluster_outlier"), ["row_id"])
     if options.neighbors:

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from dataclasses import replace
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window, functions as F
 
 from ..functions.clean import canonical_origin
-from ..operators import features, profile, summary, tfidf
+from ..functions.text import corpus
+from ..operators import cluster, features, fitted, profile, summary, tfidf
 from ..operators.quantiles import group_mode, group_quantile
-from ..session import materialize
+from ..session import materialize, work_folder
 from . import fixtures as fx
-from .clean_queries import CLEANED, DUCK_TOKENS, cleaned_products, origin_sql
+from .clean_queries import CLEANED, DUCK_TOKENS, cleaned_products, origin_sql, strip_sql
 from .registry import query
 
 
@@ -193,6 +197,45 @@ def tfidf_apply(t):
     return weights.groupBy("id").agg(F.count("*").alias("n"), F.round(F.sum("weight"), 6).alias("total"), F.round(F.max("weight"), 6).alias("top"))
 
 
+def long_features_sql(table: str, row_id: str, level: str) -> str:
+    """Features (id, f, value) of ``table`` by the numbers, levels and terms fitted on the documents."""
+    strip = f"(SELECT *, {strip_sql('text')} AS s FROM {table})"
+    return f"""SELECT {row_id} AS id, 'n' AS f, 0.5 * coalesce(length(text), med) / dev AS value FROM {table}, scale
+      UNION ALL SELECT {row_id}, concat('c:', l.pooled), 0.8 FROM {table} t JOIN levels l ON l.level = coalesce(t.{level}, '__null__')
+      UNION ALL SELECT id, concat('t:', term), 1.5 * w / sqrt(sum(w * w) OVER (PARTITION BY id)) FROM (
+        SELECT id, term, tf * idf AS w FROM ({terms_sql(strip, row_id).replace("lower(text)", "lower(s)")}) JOIN top_terms USING (term))"""
+
+
+@query(
+    "fitted_model_apply",
+    f"""WITH {VOCABULARY.replace("lower(text)", f"lower({strip_sql('text')})")},
+    top_terms AS (SELECT v.* FROM vocabulary v JOIN (SELECT term, sum(tf) AS total FROM counts GROUP BY term) USING (term) ORDER BY total DESC, term LIMIT 2000),
+    scale AS (SELECT med, stddev_pop(coalesce(length(text), med)) AS dev FROM documents, (SELECT quantile_cont(length(text), 0.5) AS med FROM documents) GROUP BY med),
+    levels AS (SELECT coalesce(source, '__null__') AS level, CASE WHEN count(*) >= 5 THEN coalesce(source, '__null__') ELSE '__infrequent__' END AS pooled FROM documents GROUP BY 1, source),
+    x AS MATERIALIZED ({long_features_sql('documents', 'doc_id', 'source')}),
+    size AS (SELECT lang, count(*) AS n, row_number() OVER (ORDER BY lang) - 1 AS cluster_id FROM documents WHERE lang IS NOT NULL GROUP BY lang),
+    centers AS MATERIALIZED (SELECT cluster_id, f, sum(value) / any_value(n) AS value FROM x JOIN documents ON doc_id = id JOIN size USING (lang) GROUP BY cluster_id, f),
+    y AS MATERIALIZED ({long_features_sql("(SELECT concat(conv_id, ':', turn) AS id, role AS source, text FROM conversations)", 'id', 'source')}),
+    far AS (SELECT id, cluster_id, xx + cc - 2 * coalesce(xc, 0) AS d2 FROM (SELECT id, sum(value * value) AS xx FROM y GROUP BY id)
+      CROSS JOIN (SELECT cluster_id, sum(value * value) AS cc FROM centers GROUP BY cluster_id)
+      LEFT JOIN (SELECT id, cluster_id, sum(y.value * c.value) AS xc FROM y JOIN centers c USING (f) GROUP BY id, cluster_id) USING (id, cluster_id))
+    SELECT id, CAST(min_by(cluster_id, d2) AS INTEGER) AS cluster_id, round(sqrt(min(d2)), 4) AS cluster_dist FROM far GROUP BY id""",
+)
+def fitted_model_apply(t):
+    """Length, source and terms fitted on the documents, a centre for each language; kept, read back, and applied to the turns."""
+    docs = t.spread("documents", "doc_id").withColumn("length", F.char_length("text").cast("double"))
+    texts = docs.select("doc_id", corpus([F.col("text")]).alias("text"))
+    terms = tfidf.fit_tfidf(materialize(tfidf.term_counts(texts, "doc_id", "text"), "counts"), docs.count(), max_features=2_000)
+    model = fitted.FittedModel(features.fit_numeric(docs, ["length"]), features.fit_categories(docs, ["source"]), ("text",), terms, weights=(0.5, 0.8, 1.5))
+    rows = model.vectors(docs, "doc_id").withColumn("vector", vector_to_array("features")).join(docs.select("doc_id", "lang").where("lang is not null"), "doc_id")
+    centers = cluster.cluster_moments(rows, ["lang"], "vector").select((F.rank().over(Window.orderBy("lang")) - 1).cast("int").alias("cluster_id"), "center")
+    path = work_folder(t.spark, "model")
+    fitted.save(replace(model, centers=centers), path, t.spark)
+    turn = F.concat(F.col("conv_id").cast("string"), F.lit(":"), F.col("turn").cast("string"))
+    turns = t.conversations.select(turn.alias("id"), F.char_length("text").cast("double").alias("length"), F.col("role").alias("source"), "text")
+    return fitted.load(t.spark, path).score(turns, "id").select("id", "cluster_id", F.round("cluster_dist", 4).alias("cluster_dist"))
+
+
 @query(
     "embedding_block_join",
     """SELECT doc_id, lang, len(embedding) AS dims, round(list_sum(CAST(embedding AS DOUBLE[])), 5) AS total

@@ -1,10 +1,13 @@
 import json
+from collections import Counter
+from dataclasses import replace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from catalog_spark import spec
+from catalog_spark.operators import fitted
 from catalog_spark.plans import clustering, collection, listing
 from catalog_spark.sources.files import read_csv_typed
 from catalog_spark.streaming.centroids import read_state, track_centroids
@@ -167,3 +170,32 @@ def test_stream_centroids_of_poor_batches(spark, tmp_path):
     centers, weights = read_state(spark, state)
     assert sizes == [0, 0, 1, 1, 2, 2]
     assert centers.tolist() == [[0.0, 0.0], [9.0, 8.0]] and weights.tolist() == [2.0, 2.0]
+
+
+def test_kept_model_scores_other_rows(spark, tmp_path):
+    """Applied to the rows it was fitted on, a model read back gives the job's clusters; odd rows get a cluster as well."""
+    raw = product_table(lambda values, schema: spark.createDataFrame(values, schema))
+    result = clustering.cluster_products(raw, clustering.ClusterOptions(k=3, final_restarts=2, svd_dimensions=4, neighbors=0))
+    path = str(tmp_path / "model")
+    assert fitted.versions(spark, path) == []
+    with pytest.raises(ValueError, match="no complete version"):
+        fitted.load(spark, path)
+    assert fitted.save(result.model, path, spark) == 1
+    model = fitted.load(spark, path)
+    assert model.svd is not None and model.numeric == result.model.numeric and model.svd.components == pytest.approx(result.model.svd.components)
+    key = spec.item_id(raw)
+    placed = clustering.score_products(model, raw)
+    want = Counter((r[0], r.cluster_id) for r in result.enriched.select(key, "cluster_id").collect())
+    assert Counter((r[0], r.cluster_id) for r in placed.select(key, "cluster_id").collect()) == want
+    # a later save that was cut off before its settings were written does not count
+    (tmp_path / "model" / "version=2").mkdir()
+    assert fitted.versions(spark, path) == [1]
+    assert fitted.save(replace(result.model, centers=None), path, spark) == 2 and fitted.versions(spark, path) == [1, 2]
+    with pytest.raises(ValueError, match="no centres"):
+        fitted.load(spark, path).score(raw, "row_id")
+    # nothing but an id: every column counts as null; repeated ids stay rows of their own; no rows give no rows
+    bare = spark.createDataFrame([(1,), (1,), (None,)], "row_id long")
+    old = fitted.load(spark, path, 1)
+    got = old.score(bare, "row_id").collect()
+    assert [r.row_id for r in got].count(1) == 2 and len(got) == 3 and len({r.cluster_dist for r in got}) == 1
+    assert old.score(bare.limit(0), "row_id").count() == 0
