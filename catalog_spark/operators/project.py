@@ -14,8 +14,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
+
+from ..functions.vectors import entries
 
 # Fixed value: dimensions kept of a wide text block.
 SVD_DIMENSIONS = 256
@@ -26,15 +27,6 @@ PIECE_ROWS = 512  # rows of Z that travel together
 FOLDS = 64  # tasks of the lower level of the tree
 
 
-def _entries(df: DataFrame, features: str) -> Column:
-    """The vector as the fields of the vector type, sparse or dense; an array counts as dense."""
-    if isinstance(df.schema[features].dataType, VectorUDT):
-        return F.unwrap_udt(features)
-    values = F.col(features).cast("array<double>")
-    empty = [F.lit(None).cast("int").alias("size"), F.lit(None).cast("array<int>").alias("indices")]
-    return F.when(values.isNotNull(), F.struct(F.lit(1).cast("tinyint").alias("type"), *empty, values.alias("values")))
-
-
 def _products(column: pa.Array, q: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, tuple]]:
     """(rows, rows times q, the entries) of the vectors of a batch, dense and sparse ones apart, in bounded parts."""
     if not len(column):
@@ -69,12 +61,12 @@ def _products(column: pa.Array, q: np.ndarray) -> Iterator[tuple[np.ndarray, np.
             at = to
 
 
-def _add(z: np.ndarray, y: np.ndarray, entries: tuple) -> None:
+def _add(z: np.ndarray, y: np.ndarray, held: tuple) -> None:
     """Add the entries' transpose times y."""
-    if len(entries) == 1:
-        z += entries[0].T @ y
+    if len(held) == 1:
+        z += held[0].T @ y
         return
-    owner, i, v = entries
+    owner, i, v = held
     if len(v):
         order = np.argsort(i, kind="stable")
         starts = np.flatnonzero(np.r_[True, np.diff(i[order]) > 0])
@@ -94,9 +86,9 @@ def _pass(rows: DataFrame, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q, r, z, seen = sent.value, np.zeros((0, width)), np.zeros((n, width)), 0
         for batch in batches:
-            for part, y, entries in _products(batch.column(0), q):
+            for part, y, held in _products(batch.column(0), q):
                 r, seen = _fold(r, y), seen + len(part)
-                _add(z, y, entries)
+                _add(z, y, held)
         if seen:
             yield _piece(-1 - TaskContext.get().partitionId() % FOLDS, np.vstack([r, np.zeros((max(0, width - len(r)), width))]))
             for i in range(0, n, PIECE_ROWS):
@@ -155,7 +147,7 @@ class Svd:
                     yield pa.RecordBatch.from_arrays([empty, pa.nulls(len(empty), pa.list_(pa.float64()))], [row_id, output])
 
         schema = T.StructType([df.schema[row_id], T.StructField(output, T.ArrayType(T.DoubleType()))])
-        return df.select(row_id, _entries(df, features).alias("__v")).mapInArrow(run, schema)
+        return df.select(row_id, entries(df, features).alias("__v")).mapInArrow(run, schema)
 
 
 def fit_svd(df: DataFrame, k: int, row_id: str, features: str = "features", passes: int = POWER_PASSES, seed: int = 1) -> Svd:
@@ -166,7 +158,7 @@ def fit_svd(df: DataFrame, k: int, row_id: str, features: str = "features", pass
     early where Q spans all columns, or where the wanted singular values have settled.  The sign of each component is
     fixed by its largest-magnitude loading.
     """
-    rows = df.select(_entries(df, features).alias("__v")).where("__v is not null")
+    rows = df.select(entries(df, features).alias("__v")).where("__v is not null")
     first = rows.select(F.coalesce(F.col("__v.size"), F.size("__v.values")).alias("n")).first()
     n = first.n if first else 0
     k, width = min(k, n), min(n, k + OVERSAMPLING)

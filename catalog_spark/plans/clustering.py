@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import spec
 from ..functions.text import corpus
+from ..functions.vectors import nonfinite_entries
 from ..operators import cluster, embedded, features, fitted, kselect, neighbors, profile, project, relate, summary, tfidf
 from ..session import materialize, ship_package
 from ..sources.sinks import write_enriched, write_if_wanted
@@ -139,6 +140,9 @@ def cluster_products(raw: DataFrame, options: ClusterOptions = ClusterOptions(),
     numbers = df.select("row_id", *features.as_numbers(df, found.numeric))
     nulls, infinite = profile.null_profile(df, "row_id", checked), profile.inf_profile(numbers, "row_id")
     model, matrix, dictionary = feature_matrix(df, found, options, encoder)
+    audit = materialize(audit_matrix(matrix, dictionary), "audit")
+    if not audit.isEmpty():
+        log.warning("the matrix has NaN or infinite entries: %s", [r.feature for r in audit.orderBy(F.col("n").desc(), "feature").limit(10).collect()])
     vectors = matrix.withColumn("vector", vector_to_array("features")).persist()
     try:
         metrics = None
@@ -158,13 +162,12 @@ def cluster_products(raw: DataFrame, options: ClusterOptions = ClusterOptions(),
         vectors.unpersist()
     table = summary.cluster_summary(_with(enriched, spec.MAX_PRICE_CHAIN[0], "double"))
     model = replace(model, centers=fitted.center_table(raw.sparkSession, centers))
-    return ClusterResult(enriched, table, metrics, k, dictionary, nulls, infinite, audit_matrix(matrix, dictionary), model)
+    return ClusterResult(enriched, table, metrics, k, dictionary, nulls, infinite, audit, model)
 
 
 def audit_matrix(matrix: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Features of the matrix with the most NaN and infinite entries; names come in after the count."""
-    cells = matrix.select("row_id", F.posexplode(vector_to_array("features")).alias("position", "value"))
-    worst = profile.nonfinite_features(cells, "row_id", "position", "value")
+    worst = profile.nonfinite_features(nonfinite_entries(matrix, "row_id"), "row_id", "position", "value")
     return worst.join(dictionary.select("position", "feature"), "position").drop("position")
 
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Window, functions as F
 
 from ..functions.clean import canonical_origin
 from ..functions.text import corpus
+from ..functions.vectors import nonfinite_entries
 from ..operators import cluster, features, fitted, profile, summary, tfidf
 from ..operators.quantiles import group_mode, group_quantile
 from ..session import materialize, work_folder
@@ -304,9 +305,10 @@ def inf_profile(t):
     SELECT kind, feature, n, rank, examples FROM ranked JOIN shown USING (kind) WHERE rank <= 25""",
 )
 def feature_nonfinite_audit(t):
-    cells = t.embeddings.select("vec_id", F.posexplode("embedding").alias("p", "x"))
-    broken = F.when((F.col("vec_id") + F.col("p")) % 97 == 0, F.lit(float("nan"))).when(
-        (F.col("vec_id") + 3 * F.col("p")) % 89 == 0, F.lit(float("-inf"))
-    )
-    long = cells.select(F.col("vec_id").alias("row_id"), F.concat(F.lit("f"), "p").alias("feature"), F.coalesce(broken, "x").alias("value"))
-    return profile.nonfinite_features(long)
+    def broken(x, p):
+        bad = F.when((F.col("vec_id") + p) % 97 == 0, F.lit(float("nan"))).when((F.col("vec_id") + 3 * p) % 89 == 0, F.lit(float("-inf")))
+        return F.coalesce(bad, x.cast("double"))
+
+    matrix = t.embeddings.select(F.col("vec_id").alias("row_id"), array_to_vector(F.transform("embedding", broken)).alias("features"))
+    cells = nonfinite_entries(matrix, "row_id").withColumn("feature", F.concat(F.lit("f"), "position"))
+    return profile.nonfinite_features(cells)

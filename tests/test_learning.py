@@ -5,6 +5,7 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F, types as T
 from pyspark.ml.functions import array_to_vector, vector_to_array
 
+from catalog_spark.functions.vectors import nonfinite_entries
 from catalog_spark.operators import cluster, features, kselect, lloyd, neighbors, project, tfidf
 
 rng = np.random.default_rng(7)
@@ -347,3 +348,12 @@ def test_feature_dictionary(rows):
     terms = rows([(0, "t0"), (1, "t1")], "position int, term string")
     got = features.feature_dictionary(numbers.feature_names, categories, terms, df).orderBy("position").collect()
     assert [r.feature for r in got] == ["num__n", "cat__c_x", "cat__c___infrequent__", "txt__t0", "txt__t1"]
+
+
+def test_nonfinite_entries_of_sparse_and_dense_rows(spark):
+    """Only stored entries count; null vectors and rows without any are left out."""
+    bad, inf = float("nan"), float("inf")
+    data = [(1, Vectors.sparse(1_000_000, {5: 1.0, 7: bad, 999_999: -inf})), (2, Vectors.dense([0.0, inf])), (3, Vectors.sparse(9, {})), (4, None), (5, Vectors.dense([1.0]))]
+    df = spark.createDataFrame(data, T.StructType([T.StructField("id", T.LongType()), T.StructField("features", VectorUDT())]))
+    got = {(r.id, r.position): str(r.value) for r in nonfinite_entries(df, "id").collect()}
+    assert got == {(1, 7): "nan", (1, 999_999): "-inf", (2, 1): "inf"}
