@@ -180,9 +180,12 @@ def _pooled(model: LanguageModel, data: np.ndarray, start: np.ndarray, end: np.n
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE_TEXTS) -> LanguageModel | None:
-    """Train on windows of at most about ``sample`` texts a language; None if no row has a letter and a language."""
+    """Train on windows of at most about ``sample`` texts a language; None if no row has a letter and a language.
+
+    Copies of a text count once, however many of them there are.
+    """
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("lang is not null").where(F.col("text").rlike("\\p{L}"))
-    rows = bounded_sample(rows, "lang", sample, F.col("text"))
+    rows = bounded_sample(rows, "lang", sample, F.col("text")).dropDuplicates(["lang", "text"])
     spots = [F.substring("text", (F.pmod(F.xxhash64("text", F.lit(i)), F.greatest(F.lit(1), F.char_length("text") - WINDOW)) + 1).cast("int"), F.lit(WINDOW)) for i in range(WINDOWS)]
     got = rows.select("lang", F.explode(F.array(*spots)).alias("t")).orderBy("lang", "t").collect()
     return train([r["t"].encode() for r in got], [r["lang"] for r in got]) if got else None

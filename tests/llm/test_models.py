@@ -229,3 +229,13 @@ def test_mixing_with_clashing_columns_and_repeated_rows(tables):
     want = mixing.mixed(docs, model, {"good": 0.5, "toxic": 0.5})
     assert sorted(map(str, got.select(docs.columns).collect())) == sorted(map(str, want.collect()))
     assert {(r["domain"], r["__copies"], r["__key"]) for r in got.collect()} == {("domain", "__copies", "__key")}
+
+
+def test_copies_do_not_widen_the_language_sample(spark, monkeypatch):
+    """Each distinct text is trained on once, whatever the number of its copies."""
+    seen = []
+    monkeypatch.setattr(langid, "train", lambda texts, labels: seen.append((sorted(texts), sorted(labels))))
+    once = spark.createDataFrame([("ein Satz", "de"), ("une phrase", "fr"), ("une phrase", "de")], "text string, lang string")
+    langid.fit(once)
+    langid.fit(once.join(spark.range(5000).select(F.lit(1).alias("n"))).select("text", "lang"))
+    assert seen[0] == seen[1] and len(seen[0][0]) == 3 * langid.WINDOWS
