@@ -3,7 +3,7 @@
 A classifier learnt from a labelled table gives every document posteriors over domains.  Nonnegative rates of the documents
 are then fitted by projected gradient steps, with momentum, on the squared distance between the expected tokens of each
 domain and its target.  A step needs the domain totals only: K sums that combine map-side.  A task works out the rates of
-its documents from the latest steps; every ``REPLAY`` steps the rates are written beside the posteriors.
+its documents from the latest steps; after every ``REPLAY`` steps the rates are written beside the posteriors.
 
 The fit ends when the targets are met, or when the dual of the problem proves that no nonnegative rates come closer.
 """
@@ -26,7 +26,8 @@ SAMPLE_TEXTS = 2500  # labelled texts a domain
 CHUNK_BYTES = 1 << 20
 TOLERANCE = 1e-4  # of the total, by which a domain may miss its target
 PROOF = 1e-3  # of the total, within which the totals are proved to be of the closest ones if targets cannot be met
-REPLAY = 24  # steps after which the rates are written down, and the proof is tried
+PROVE = 24  # steps after which the proof is tried
+REPLAY = 960  # steps after which the rates are written down; up to there, going through the steps costs less than a table
 
 log = logging.getLogger(__name__)
 
@@ -254,6 +255,7 @@ def fit_steps(members: DataFrame, domains: list[str], targets: dict[str, float],
         met = missed() <= TOLERANCE * size
         if not met and len(steps) == REPLAY:
             members, steps = _written(members, steps), steps[:0]
+        if not met and taken % PROVE == 0:
             excess = max(0.0, cost(reached) - _bound(members, reached - wanted, wanted, weight))
             gap = float(np.sqrt(2 * excess / weight[weight > 0].min()))
             if gap <= PROOF * size or abs(cost(reached) - cost(before)) <= 1e-15 * cost(reached):  # or nothing moves any more

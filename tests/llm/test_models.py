@@ -196,8 +196,10 @@ def closest(p, tokens, wanted):
 
 
 @pytest.mark.parametrize("posteriors, share", [([(0.6, 0.4), (0.55, 0.45), (0.5, 0.5)], 0.9), ([(0.52, 0.48), (0.45, 0.55), (0.5, 0.5)], 0.51)])
-def test_overlapping_posteriors(spark, posteriors, share):
-    """Targets out of reach end at the closest totals and say so; those just in reach are met."""
+@pytest.mark.parametrize("replay", [7, 960])
+def test_overlapping_posteriors(spark, monkeypatch, posteriors, share, replay):
+    """Targets out of reach end at the closest totals and say so; those just in reach are met, with rates written down or not."""
+    monkeypatch.setattr(mixing, "REPLAY", replay)
     members = spark.createDataFrame([(10, list(p)) for p in posteriors], "tokens long, p array<double>")
     fit = mixing.fit_steps(members, ["a", "b"], {"a": share, "b": 1 - share})
     p, tokens = np.array(posteriors), np.full(len(posteriors), 10.0)
@@ -237,5 +239,5 @@ def test_copies_do_not_widen_the_language_sample(spark, monkeypatch):
     monkeypatch.setattr(langid, "train", lambda texts, labels: seen.append((sorted(texts), sorted(labels))))
     once = spark.createDataFrame([("ein Satz", "de"), ("une phrase", "fr"), ("une phrase", "de")], "text string, lang string")
     langid.fit(once)
-    langid.fit(once.join(spark.range(5000).select(F.lit(1).alias("n"))).select("text", "lang"))
+    langid.fit(once.join(spark.range(50).select(F.lit(1).alias("n"))).select("text", "lang"))
     assert seen[0] == seen[1] and len(seen[0][0]) == 3 * langid.WINDOWS
