@@ -3,9 +3,10 @@
 import re
 
 import pytest
+from oracle_check import compare, duck
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
+from __spark_entry__ import oracle_sql, queries
 from catalog_spark.operators import relate, tfidf
 
 
@@ -38,3 +39,10 @@ def test_row_work_needs_no_shuffle(spark, data, name):
 def test_scans_read_only_the_columns_in_use(spark, data):
     text = plan(queries()["top_offenders"](spark, data))
     assert "ReadSchema: struct<user_id:bigint>" in text
+
+
+def test_large_vocabulary_is_not_broadcast(spark, data, monkeypatch):
+    monkeypatch.setattr(tfidf, "BROADCAST_ROWS", 10, raising=False)
+    found = queries()["tfidf_weights"](spark, data)
+    assert "Broadcast" not in plan(found)
+    assert compare(spark, duck(data), data, lambda *_: found, oracle_sql()["tfidf_weights"]) is None
