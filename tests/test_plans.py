@@ -46,3 +46,11 @@ def test_large_vocabulary_is_not_broadcast(spark, data, monkeypatch):
     found = queries()["tfidf_weights"](spark, data)
     assert "Broadcast" not in plan(found)
     assert compare(spark, duck(data), data, lambda *_: found, oracle_sql()["tfidf_weights"]) is None
+
+
+def test_tasks_that_count_terms_grow_with_the_texts(rows, monkeypatch):
+    monkeypatch.setattr(tfidf, "TASK_BYTES", 1_000, raising=False)
+    docs = rows([(i, "some words " * 20) for i in range(200)], "id int, t string")
+    counts = tfidf.term_counts(docs, "id", "t")
+    assert counts.rdd.getNumPartitions() == 44 and counts.count() == 200 * 4
+    assert tfidf.term_counts(docs, "id", "t", 90_000).rdd.getNumPartitions() == 90
