@@ -23,7 +23,7 @@ TOLERANCE = 1e-4
 POOL_ROUNDS = 3  # rounds of candidates for spread starts
 POOL_SHARE = 2  # candidates a round, times the largest K
 POOL_STEPS = 10  # Lloyd steps among the candidates
-FEW_TASKS = 32  # sums of so many tasks are added up on the driver, of more by a shuffle
+FEW_TASKS = 32  # sums of so many tasks are added up in one task, of more by a shuffle
 
 
 @dataclass(frozen=True)
@@ -63,25 +63,46 @@ def _moments(runs: Sequence[np.ndarray]):
                     np.add.at(cost, nearest, ((x - table[nearest]) ** 2).sum(axis=1))  # without the rounding of the product
                     np.add.at(n, nearest, 1)
                 sums += member @ x
-        used = np.flatnonzero(n)
-        if len(used):
-            lists = pa.ListArray.from_arrays(np.arange(len(used) + 1, dtype=np.int32) * table.shape[1], sums[used].ravel())
-            yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(n[used]), pa.array(cost[used]), lists], ["slot", "n", "cost", "sums"])
+        yield from _written(n, cost, sums)
+
+    return run
+
+
+def _written(n: np.ndarray, cost: np.ndarray, sums: np.ndarray) -> Iterator[pa.RecordBatch]:
+    used = np.flatnonzero(n)
+    if len(used):
+        lists = pa.ListArray.from_arrays(np.arange(len(used) + 1, dtype=np.int32) * sums.shape[1], sums[used].ravel())
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(n[used]), pa.array(cost[used]), lists], ["slot", "n", "cost", "sums"])
+
+
+def _added(slots: int, dims: int):
+    """Arrow function over what the tasks found: the same, added up by centre."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, cost, sums = np.zeros(slots, np.int64), np.zeros(slots), np.zeros((slots, dims))
+        for batch in batches:
+            slot = batch["slot"].to_numpy()
+            for total, name in ((n, "n"), (cost, "cost")):
+                np.add.at(total, slot, batch[name].to_numpy())
+            np.add.at(sums, slot, _matrix(batch["sums"]))
+        yield from _written(n, cost, sums)
 
     return run
 
 
 def moments(rows: DataFrame, runs: Sequence[np.ndarray], vector: str = "vector", tasks: int | None = None) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(rows, squared distances, sums) by centre, for every run, in one pass; what comes back is ``FEW_TASKS`` rows a centre at most.
+    """(rows, squared distances, sums) by centre, for every run, in one pass; what comes back is a row a centre.
 
     ``tasks`` is the number of partitions of ``rows``, if known.
     """
     few = (tasks or rows.rdd.getNumPartitions()) <= FEW_TASKS
-    found = rows.select(vector).mapInArrow(_moments(runs), "slot int, n long, cost double, sums array<double>")
-    if not few:
+    schema = "slot int, n long, cost double, sums array<double>"
+    found, table = rows.select(vector).mapInArrow(_moments(runs), schema), np.vstack(runs)
+    if few:  # in the order of the tasks, so that a fit can be repeated to the last digit
+        found = found.withColumn("task", F.spark_partition_id()).repartition(1).sortWithinPartitions("task").drop("task").mapInArrow(_added(*table.shape), schema)
+    else:
         total = Summarizer.metrics("sum").summary(array_to_vector("sums")).alias("s")
         found = found.groupBy("slot").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"), total).select("slot", "n", "cost", vector_to_array("s.sum").alias("sums"))
-    table = np.vstack(runs)
     n, cost, sums = np.zeros(len(table)), np.zeros(len(table)), np.zeros(table.shape)
     for row in found.collect():
         n[row.slot] += row.n

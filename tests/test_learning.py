@@ -185,6 +185,16 @@ def test_runs_that_share_their_passes(spark, monkeypatch, few):
     assert all(1 < f.steps < 300 for f in done) and all(np.allclose(plain_lloyd(x, f.centers, 1)[0], f.centers, atol=1e-3) for f in done)
 
 
+def test_sums_reach_the_driver_once(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    x, seen, collect = rng.normal(size=(80, 3)), [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda df: seen.append(collect(df)) or seen[-1])
+    found = lloyd.moments(vectors(spark, x).repartition(8), [x[:2], x[:3]], "v")
+    assert len(seen) == 1 and len(seen[0]) == 5
+    assert all(n.sum() == 80 and np.allclose(sums.sum(0), x.sum(0)) for n, _, sums in found)
+
+
 def test_starts(spark):
     x, truth = blobs()
     df = vectors(spark, x).cache()
