@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
@@ -16,6 +17,7 @@ from .summary import min_max_scale
 SILHOUETTE_WEIGHT, CH_WEIGHT = 0.55, 0.45
 ELBOW_GAP, ELBOW_SLACK = 2, 0.98
 EPS = 1e-9
+GROUP_VALUES = 1 << 24  # numbers of the rows that a task compares with all others: 128 MB
 
 
 def partition_metrics(df: DataFrame, labels: dict[int, str], vector: str = "vector") -> DataFrame:
@@ -87,59 +89,98 @@ def silhouette_squared(df: DataFrame, vector: str, labels: dict[int, str]) -> Da
 def silhouette(df: DataFrame, row_id: str, vector: str, labels: dict[int, str]) -> DataFrame:
     """(k, silhouette): mean Euclidean silhouette of each partition, over all rows.
 
-    The rows are packed into blocks; every pair of blocks is one small matrix product that serves all partitions at once
-    and leaves sums per row and cluster, not pairs.  The work grows with the square of the rows, which this distance asks
-    for; ``silhouette_squared`` is the measure for large tables.
+    The rows are dealt into groups, and a task holds one group while all rows pass by in small matrix products that serve
+    all partitions at once; sums per row and cluster stay with the task, so what is shuffled is the table once a group.
+    The work grows with the square of the rows, which this distance asks for; ``silhouette_squared`` is the measure for
+    large tables.  Groups are ``GROUP_VALUES`` numbers at most, and as few as give every core work.
     """
-    ks = list(labels)
-    columns = [labels[k] for k in ks]
-    rows = df.select(F.col(row_id).alias("__id"), F.col(vector).alias("__x"), *columns)
-    chosen = materialize(rows, "silhouette")
-    n = max(1, -(-chosen.count() // blocks.BLOCK_ROWS))
-    packed = materialize(blocks.pack_sample(chosen, "__id", "__x", columns, n), "blocks")
-    other = packed.select(*[F.col(c).alias(f"o_{c}") for c in packed.columns])
-    paired = packed.withColumn("o_block", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).join(other, "o_block")
-    width = len(ks)
-
-    def sums(batches):
-        for pdf in batches:
-            for r in pdf.itertuples():
-                a, b = blocks.matrix(r.vectors, len(r.ids)), blocks.matrix(r.o_vectors, len(r.o_ids))
-                d = np.sqrt(blocks.squared_distances(a, b))
-                if r.block == r.o_block:
-                    np.fill_diagonal(d, 0.0)
-                own = np.asarray(r.labels).reshape(-1, width)
-                theirs = np.asarray(r.o_labels).reshape(-1, width)
-                for j, k in enumerate(ks):
-                    names, index = np.unique(theirs[:, j], return_inverse=True)
-                    member = np.zeros((len(index), len(names)))
-                    member[np.arange(len(index)), index] = 1.0
-                    total = d @ member
-                    m = len(names)
-                    yield pd.DataFrame(
-                        {
-                            "id": np.repeat(np.asarray(r.ids), m),
-                            "k": k,
-                            "own": np.repeat(own[:, j], m),
-                            "cluster_id": np.tile(names, len(own)),
-                            "d": total.ravel(),
-                            "n": np.tile(member.sum(0).astype("int64"), len(own)),
-                        }
-                    )
-
-    schema = "id long, k int, own int, cluster_id int, d double, n long"
-    per_cluster = paired.mapInPandas(sums, schema).groupBy("id", "k", "own", "cluster_id").agg(F.sum("d").alias("d"), F.sum("n").alias("n"))
-    same = F.col("own") == F.col("cluster_id")
-    per_row = per_cluster.groupBy("id", "k").agg(
-        F.max(F.when(same, F.col("n"))).alias("size"),
-        F.max(F.when(same & (F.col("n") > 1), F.col("d") / (F.col("n") - 1))).alias("a"),
-        F.min(F.when(~same, F.col("d") / F.col("n"))).alias("b"),
-    )
-    widest = F.greatest("a", "b")
-    score = F.when((F.col("size") > 1) & (widest > 0), (F.col("b") - F.col("a")) / widest).otherwise(
-        F.when(F.col("b").isNotNull(), F.lit(0.0))
-    )
-    return per_row.groupBy("k").agg(F.avg(score).alias("silhouette"))
+    ks, columns = list(labels), list(labels.values())
+    own = F.array(*[F.col(c).cast("int") for c in columns])
+    chosen = materialize(df.select(F.col(row_id).alias("__id"), F.col(vector).alias("x"), own.alias("l")), "silhouette")
+    seen = chosen.select(F.posexplode("l").alias("j", "c")).groupBy("j", "c").agg(F.count("*").alias("n")).collect()  # a row a cluster
+    names = [np.array(sorted(r.c for r in seen if r.j == j)) for j in range(len(ks))]
+    counts = [np.array([n for _, n in sorted((r.c, r.n) for r in seen if r.j == j)], dtype=float) for j in range(len(ks))]
+    n, cells = chosen.count(), sum(len(own) for own in names)
+    width = cells + (chosen.select(F.max(F.size("x"))).first()[0] or 1)
+    groups = max(min(2 * df.sparkSession.sparkContext.defaultParallelism, -(-n // blocks.BLOCK_ROWS)), -(-n * width // GROUP_VALUES), 1)
+    home = F.pmod(F.xxhash64("__id"), F.lit(groups)).cast("int")
+    everywhere = F.sequence(F.lit(0), F.lit(groups - 1))
+    dealt = chosen.select("x", "l", home.alias("home"), F.explode(everywhere).alias("at"))
+    dealt = dealt.select("x", "l", (F.col("home") == F.col("at")).alias("own"), "at").repartitionById(groups, "at").sortWithinPartitions(F.desc("own"))
+    found = dealt.select("x", "l", "own").mapInArrow(_silhouettes(names, counts), "j int, total double, n long")
+    sums = found.groupBy("j").agg(F.try_divide(F.sum("total"), F.sum("n")).alias("silhouette"))
+    named = F.element_at(F.array(*[F.lit(k) for k in ks]), F.col("j") + 1)
+    return sums.select(named.alias("k"), "silhouette")
+
+
+def _flat(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return batch[name].flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+
+
+def _silhouettes(names: list[np.ndarray], counts: list[np.ndarray]):
+    """Arrow function over rows (x, l, own), the own ones first: for each partition the sum of their silhouettes by all rows."""
+    starts = np.cumsum([0, *[len(c) for c in names]])
+
+    def run(batches):
+        mine: list[tuple[np.ndarray, np.ndarray]] = []
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            there, theirs, ours = _flat(batch, "x"), _flat(batch, "l"), batch["own"].to_numpy(zero_copy_only=False)
+            if held is None:
+                mine.append((there[ours], theirs[ours]))
+                if ours.all():
+                    continue
+                held = among(mine)
+            add(held[2], held[0], there[~ours], theirs[~ours])
+        if held is None and mine:
+            held = among(mine)
+        if held is None or not len(held[0]):
+            return
+        _, own, sums = held
+        out = [_mean_silhouette(sums[:, a:b], counts[j], np.searchsorted(names[j], own[:, j])) for j, (a, b) in enumerate(zip(starts, starts[1:]))]
+        found = [(j, total or 0.0, 0 if total is None else len(own)) for j, total in enumerate(out)]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in found], t) for i, t in enumerate((pa.int32(), pa.float64(), pa.int64()))], ["j", "total", "n"])
+
+    def among(mine):
+        """The rows of the group, their clusters, and the distances among themselves, added up by cluster."""
+        x, own = (np.concatenate(z) for z in zip(*mine))
+        sums = np.zeros((len(x), starts[-1]))
+        for low in range(0, len(x), blocks.BLOCK_ROWS):
+            add(sums, x, x[low : low + blocks.BLOCK_ROWS], own[low : low + blocks.BLOCK_ROWS], low)
+        return x, own, sums
+
+    def add(sums, x, others, theirs, at=None):
+        """Add the distances of the rows to ``others`` by cluster; those are the rows from ``at`` on, if given."""
+        alike, index = np.unique(theirs, axis=0, return_inverse=True)
+        member = np.zeros((len(others), len(alike)))
+        member[np.arange(len(others)), index.ravel()] = 1.0
+        columns = [starts[j] + np.searchsorted(names[j], alike[:, j]) for j in range(len(names))]
+        for low in range(0, len(x), blocks.BLOCK_ROWS):
+            d = blocks.squared_distances(x[low : low + blocks.BLOCK_ROWS], others)
+            np.sqrt(d, out=d)
+            if at == low:
+                np.fill_diagonal(d, 0.0)
+            total = d @ member
+            for at_column in columns:
+                for i, c in enumerate(at_column):
+                    sums[low : low + blocks.BLOCK_ROWS, c] += total[:, i]
+
+    return run
+
+
+def _mean_silhouette(sums: np.ndarray, counts: np.ndarray, own: np.ndarray) -> float | None:
+    """Sum of the silhouettes of rows by their distance sums to each cluster; None if there is but one cluster."""
+    if len(counts) < 2:
+        return None
+    rows, size = np.arange(len(sums)), counts[own]
+    a = sums[rows, own] / np.maximum(1, size - 1)
+    mean = sums / counts
+    mean[rows, own] = np.inf
+    b = mean.min(axis=1)
+    widest = np.maximum(a, b)
+    return float(np.where((size > 1) & (widest > 0), (b - a) / np.where(widest > 0, widest, 1), 0.0).sum())
 
 
 def elbow_k(metrics: DataFrame, k: str = "k", inertia: str = "inertia") -> DataFrame:

@@ -99,6 +99,19 @@ def test_metrics_equal_formulas(spark, monkeypatch):
     assert row.inertia == pytest.approx(within) and row.calinski_harabasz == pytest.approx((between / 3) / (within / 96))
 
 
+def test_silhouette_deals_the_rows_to_few_groups(spark, monkeypatch):
+    monkeypatch.setattr(kselect.blocks, "BLOCK_ROWS", 8)
+    x, labels = rng.normal(size=(400, 4)), rng.integers(0, 3, 400)
+    df = vectors(spark, x, labels).selectExpr("*", "0 AS one")
+    for limit in (1 << 24, 20):
+        monkeypatch.setattr(kselect, "GROUP_VALUES", limit, raising=False)
+        found = kselect.silhouette(df, "id", "v", {2: "one", 3: "c"})
+        text = found._jdf.queryExecution().executedPlan().toString()
+        got = {r.k: r.silhouette for r in found.collect()}
+        assert got[2] is None and got[3] == pytest.approx(silhouette(x, labels), abs=1e-9)
+        assert "Join" not in text and len(got) == 2
+
+
 # Worked out by hand: fewer than three points take the largest inertia; of (0, 1), (.25, .318), (.5, .091), (.75, .034), (1, 0)
 # the sums x + y are 1, .568, .591, .784, 1, so the second is farthest below the line x + y = 1; a flat curve lies on its
 # chord, so the first counts; the last drops at once, to x + y = .2 + .091.
