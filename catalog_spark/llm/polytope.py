@@ -1,4 +1,7 @@
-"""Near-duplicate vectors by cross-polytope hashing after fast Hadamard rotations, with several probes and exact checks."""
+"""Near-duplicate vectors by cross-polytope hashing after fast Hadamard rotations, with several probes and exact checks.
+
+Pairs that share no bucket are compared too, in one bucket for all vectors of a label, so that no link is left out.
+"""
 
 from __future__ import annotations
 
@@ -17,6 +20,7 @@ SEED = 93
 QUERY_ROWS = 512
 OTHER_ROWS = 4096
 HOT_BUCKET = 20_000  # vectors that a task compares at once
+REST = np.iinfo(np.int64).max  # code of the bucket that holds all vectors of a label, for pairs without a common code
 OWN, LEFT, RIGHT = 0, 1, 2  # the only block of its task, or the first or second of two
 
 
@@ -129,8 +133,8 @@ def _links(table: pa.Table, threshold: float, tables: int) -> pa.RecordBatch:
 
 
 def _first_shared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """The smallest code that both rows of codes hold."""
-    both = np.full(len(x), np.iinfo(np.int64).max)
+    """The smallest code that both rows of codes hold, ``REST`` if there is none."""
+    both = np.full(len(x), REST)
     for j in range(x.shape[1]):
         shared = (y == x[:, j : j + 1]).any(axis=1)
         both = np.where(shared, np.minimum(both, x[:, j]), both)
@@ -164,8 +168,8 @@ def _sound(x: Column) -> Column:
 def near_duplicates(vectors: DataFrame, threshold: float = 0.93, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label", tables: int = TABLES, hot_bucket: int = HOT_BUCKET) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every vector.
 
-    Vectors of one label and one length are linked where their cosine, in double precision, is ``threshold`` or more and
-    they meet in a bucket; every link reported is checked, one in a few thousand at the threshold itself may be missed.
+    Vectors of one label and one length are linked where their cosine, in double precision, is ``threshold`` or more,
+    whether they meet in a bucket or not; the work grows with the square of the different vectors of a label.
     Equal vectors are searched once and count as often as they come.  ``component_id`` is the smallest vec_id reachable,
     ``kept`` says that it is the vector's own.  Vectors without a label, null, zero or with a null or non-finite component
     link with nothing, nor do rows with a null vec_id, which get a null component and are kept.  An empty table gives an
@@ -176,7 +180,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, vec_id: str = "
     named = rows.where("h is not null")
     classes = named.groupBy("h", "h2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("v").alias("v"))
     classes = materialize(classes.mapInArrow(_coded(tables), f"{_ddl(classes)}, codes array<long>"), "classes")
-    dealt = classes.select("rep", "copies", "v", "label", F.explode("codes").alias("code")).withColumn("bucket", F.xxhash64("label", "code"))
+    dealt = classes.select("rep", "copies", "v", "label", F.explode(F.concat("codes", F.array(F.lit(int(REST))))).alias("code")).withColumn("bucket", F.xxhash64("label", "code"))
     hot = dealt.groupBy("bucket").count().where(F.col("count") > hot_bucket).select("bucket", F.ceil(2 * F.col("count") / hot_bucket).alias("parts"))
     # a large bucket is cut into blocks of half that size, and every pair of blocks is one task's
     dealt = dealt.join(hot, "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))

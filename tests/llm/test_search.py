@@ -135,6 +135,20 @@ def test_near_duplicate_vectors(rows, hot):
     assert polytope.near_duplicates(table.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("hot", [20_000, 50])
+def test_pairs_without_a_common_bucket_are_linked(rows, hot):
+    rng = np.random.default_rng(3)
+    first = rng.normal(size=(150, 48))
+    x = np.float32(np.vstack([first, first + rng.normal(size=first.shape) * 0.36])).astype(float)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = (unit @ unit.T >= 0.93) & ~np.eye(len(x), dtype=bool)
+    codes = polytope.probe_codes(unit, 1)
+    apart = [(i, j) for i, j in zip(*np.nonzero(near)) if not set(codes[i]) & set(codes[j])]
+    table = rows([(i, v.tolist(), 1, 0, "s") for i, v in enumerate(x)], VECTORS)
+    got = {r["vec_id"]: r["n_links"] for r in polytope.near_duplicates(table, 0.93, tables=1, hot_bucket=hot).collect()}
+    assert apart and got == dict(enumerate(near.sum(axis=1).tolist()))
+
+
 def test_crowded_bucket_is_compared_in_blocks(rows, tmp_path, monkeypatch):
     rng = np.random.default_rng(8)
     values = [(i, [float(x) for x in np.r_[np.ones(8), np.zeros(8)] + rng.normal(0, 0.12, 16)], "a") for i in range(300)]
