@@ -62,6 +62,11 @@ def discover_leaves(docs: DataFrame, column: str, keep: list[str] | None = None,
     Only the schema reaches the driver.  ``keep`` limits the result to columns
     with these names, ``max_columns`` guards against data used as keys.
     """
+    return _discover(docs, column, keep, max_columns)[0]
+
+
+def _discover(docs: DataFrame, column: str, keep: list[str] | None = None, max_columns: int | None = None) -> tuple[list[Leaf], int]:
+    """The leaves, and the number of rows without a document."""
     leaves: dict[tuple[str, ...], Leaf] = {}
     pending: list[tuple[str, ...]] = []
     conflicts: list[tuple[str, ...]] = []
@@ -75,7 +80,8 @@ def discover_leaves(docs: DataFrame, column: str, keep: list[str] | None = None,
         elif path:
             leaves[path] = Leaf(path, _leaf_type(t))
 
-    whole = _parse_schema(docs.agg(F.schema_of_variant_agg(column)).first()[0])
+    schema, missing = docs.agg(F.schema_of_variant_agg(column), F.count_if(F.col(column).isNull())).first()
+    whole = _parse_schema(schema)
     walk((), whole)
     if not isinstance(whole, (T.StructType, T.NullType)):
         conflicts = [()]
@@ -105,7 +111,7 @@ def discover_leaves(docs: DataFrame, column: str, keep: list[str] | None = None,
         result = [leaf for leaf in result if column_name(leaf.path) in set(keep)]
     if max_columns is not None and len(result) > max_columns:
         raise ValueError(f"{len(result)} columns found, more than {max_columns}; pass the wanted ones in keep")
-    return result
+    return result, missing
 
 
 def _nested_schema(leaves: list[Leaf]) -> T.StructType:
@@ -169,11 +175,12 @@ def _last_in_text(text: str, leaves: list[Leaf], values: list[Column]) -> Column
     return picked
 
 
-def flatten_json(docs: DataFrame, text: str, keep_columns: list[str] | None = None, leaves: list[Leaf] | None = None, **limits) -> DataFrame:
+def flatten_json(docs: DataFrame, text: str, keep_columns: list[str] | None = None, leaves: list[Leaf] | None = None, variant: str | None = None, **limits) -> DataFrame:
     """Flat table from a column of JSON text, unparsable rows left out.
 
     The schema comes from ``discover_leaves`` unless given; then each document is
-    parsed once with exactly that schema.  Arrays stay minified JSON text with key
+    parsed once with exactly that schema.  ``docs`` is read once for each, so the caller
+    should have written it.  ``variant`` names a column with what the texts parse to, null if unparsable.  Arrays stay minified JSON text with key
     order and nulls kept.  ``keep_columns`` are carried along unchanged.
 
     Of several paths that give one name, the one that a document names last wins, null
@@ -181,9 +188,10 @@ def flatten_json(docs: DataFrame, text: str, keep_columns: list[str] | None = No
     of their own, ``Ab`` and ``ab__2``, or ``ab`` where the session tells cases apart.
     """
     carried = list(keep_columns or [])
-    variants = docs.select(*carried, text, F.try_parse_json(text).alias("__v"))
+    parsed = F.col(variant) if variant else F.try_parse_json(text)
+    variants, missing = docs.select(*carried, text, parsed.alias("__v")), 1
     if leaves is None:
-        leaves = discover_leaves(variants, "__v", **limits)
+        leaves, missing = _discover(variants, "__v", **limits)
     case_sensitive = docs.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
     if not case_sensitive:  # fields of a struct are found without regard to case, paths of a variant are not
         spelt = defaultdict(set)
@@ -194,7 +202,7 @@ def flatten_json(docs: DataFrame, text: str, keep_columns: list[str] | None = No
     else:
         doubtful = set()
     schema = _nested_schema([leaf for leaf in leaves if leaf.path not in doubtful])
-    rows = variants.where("__v IS NOT NULL")
+    rows = variants.where("__v IS NOT NULL") if missing else variants  # which would parse every text once more
     if schema.fields:
         rows = rows.withColumn("__doc", F.from_json(text, schema))
     found: dict[str, list[tuple[Leaf, Column]]] = defaultdict(list)

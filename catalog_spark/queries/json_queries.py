@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import numeric
 from ..operators import embedded, flatten
+from ..session import materialize
 from . import fixtures as fx
 from .registry import query
 
@@ -23,7 +24,7 @@ CRUMBS = """concat('[{"name":"', r_name, '"},{"name":', CASE WHEN o_orderkey % 8
     FROM facts""",
 )
 def flatten_dash(t):
-    flat = flatten.flatten_json(fx.product_documents(t), "doc")
+    flat = flatten.flatten_json(materialize(fx.product_documents(t).select("doc"), "documents"), "doc")
     lists = ["data-product-children", "data-product-ratings_and_reviews-statistics-secondary_averages"]
     return flat.drop(*lists)
 

@@ -195,3 +195,13 @@ def test_bare_nan_is_null(rows):
     lines = rows([('{"a": NaN, "k": 1}',), ('{"a": [1, -Infinity], "s": "x: NaN, y"}',), ('{"a": NaN',), ('{"s": ": NaN, "}',)], "value string")
     got = [(r.line, r.status) for r in files.parse_lines(lines).collect()]
     assert got == [('{"a": null, "k": 1}', "ok"), ('{"a": [1, null], "s": "x: null, y"}', "ok"), ('{"a": NaN', "malformed"), ('{"s": ": NaN, "}', "ok")]
+
+
+def test_texts_are_not_parsed_to_drop_none(rows):
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    good = rows([('{"a":1,"b":{"c":"x"}}',), ('{"a":2}',)], "doc string")
+    found = flatten.flatten_json(good, "doc")
+    assert "parse_json" not in plan(found) and "parseJson" not in plan(found)
+    assert sorted(map(tuple, found.collect())) == [(1, "x"), (2, None)]
+    some = flatten.flatten_json(good.union(rows([("{bad",), (None,)], "doc string")), "doc")
+    assert sorted(map(tuple, some.collect())) == [(1, "x"), (2, None)]
