@@ -35,7 +35,8 @@ def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """
     text = strip_space(F.col(column))
     rows = lines.select(text.alias("line")).where(F.col("line") != "")
-    suspect = F.col("line").rlike(BARE_NUMBER) & F.try_parse_json("line").isNull()
+    named = F.col("line").contains("NaN") | F.col("line").contains("Infinity")  # far faster than the pattern
+    suspect = named & F.col("line").rlike(BARE_NUMBER) & F.try_parse_json("line").isNull()
     mended = F.regexp_replace("line", BARE_NUMBER, "$1null")
     rows = rows.select(F.when(suspect & F.try_parse_json(mended).isNotNull(), mended).otherwise(F.col("line")).alias("line"))
     doc = F.try_parse_json("line")

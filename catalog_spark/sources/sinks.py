@@ -33,11 +33,11 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "
 
 def export_flat(spark: SparkSession, jsonl: str, out: str, fmt: str = "csv", **limits) -> DataFrame | None:
     """Flatten all documents of a JSON-lines folder into a table; nothing is written for an empty input."""
-    docs = read_jsonl(spark, jsonl)
-    if docs.isEmpty():
+    docs = read_jsonl(spark, jsonl, keep_malformed=True)  # which the flattening leaves out without parsing once more
+    if docs.where("doc IS NOT NULL").isEmpty():
         log.warning("no rows in %s, nothing exported", jsonl)
         return None
-    flat = flatten_json(docs, "line", **limits)
+    flat = flatten_json(docs, "line", variant="doc", **limits)
     if fmt == "csv":
         write_csv(flat, out)
     else:

@@ -205,3 +205,16 @@ def test_texts_are_not_parsed_to_drop_none(rows):
     assert sorted(map(tuple, found.collect())) == [(1, "x"), (2, None)]
     some = flatten.flatten_json(good.union(rows([("{bad",), (None,)], "doc string")), "doc")
     assert sorted(map(tuple, some.collect())) == [(1, "x"), (2, None)]
+
+
+def test_export_parses_a_line_once(spark, tmp_path, monkeypatch):
+    from catalog_spark.sources import sinks
+
+    given, original = [], flatten.flatten_json
+    monkeypatch.setattr(sinks, "flatten_json", lambda docs, text, **more: given.append((docs, more)) or original(docs, text, **more))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('{"a":1}\n{"a":NaN}\nbad\n\n{"b":"NaN"}\n')
+    flat = sinks.export_flat(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert sorted(map(tuple, flat.collect()), key=str) == [(1, None), (None, "NaN"), (None, None)]
+    (docs, more), = given
+    assert more == {"variant": "doc"} and docs.where("doc IS NULL").count() == 1
