@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -47,9 +48,11 @@ def nearest_center(centers: np.ndarray, ids: list[int] | None = None):
 def cluster_moments(df: DataFrame, keys: list[str], vector: str) -> DataFrame:
     """Per cluster: n, mean vector and within-cluster sum of squares, in one combined pass.
 
-    Vectors are summed map-side; only one buffer per cluster and task moves.
+    Vectors are summed map-side; only one buffer per cluster and task moves.  A column of the vector type is taken as it
+    is, so of sparse ones only the stored entries are looked at.
     """
-    stats = Summarizer.metrics("mean", "variance").summary(array_to_vector(F.col(vector)))
+    stored = isinstance(df.schema[vector].dataType, VectorUDT)
+    stats = Summarizer.metrics("mean", "variance").summary(F.col(vector) if stored else array_to_vector(F.col(vector)))
     spread = F.aggregate(vector_to_array("__s.variance"), F.lit(0.0), lambda a, b: a + b)
     return (
         df.groupBy(*keys)

@@ -208,6 +208,17 @@ def test_sums_reach_the_driver_once(spark, monkeypatch):
     assert all(n.sum() == 80 and np.allclose(sums.sum(0), x.sum(0)) for n, _, sums in found)
 
 
+def test_moments_of_sparse_vectors(spark):
+    from pyspark.ml.linalg import Vectors
+
+    x = rng.normal(size=(40, 5)) * (rng.random((40, 5)) < 0.3)
+    dense = vectors(spark, x, np.arange(40) % 3)
+    sparse = spark.createDataFrame([(i % 3, Vectors.sparse(5, [(j, v) for j, v in enumerate(row) if v])) for i, row in enumerate(x.tolist())], ["c", "v"])
+    a, b = ({r.c: r for r in cluster.cluster_moments(df, ["c"], "v").collect()} for df in (dense, sparse))
+    for c in range(3):
+        assert a[c].n == b[c].n and np.allclose(a[c].center, b[c].center) and a[c].within == pytest.approx(b[c].within)
+
+
 def test_starts(spark):
     x, truth = blobs()
     df = vectors(spark, x).cache()
