@@ -317,9 +317,9 @@ def svd_full_rank(t):
     rows = feature_rows(t)
     dims = features.vector_size(rows, "features")
     reduced = project.fit_svd(rows, dims, "vec_id").transform(rows, "vec_id")
-    first = reduced.orderBy("vec_id").limit(1).select(F.col("reduced").alias("f"))
+    first = reduced.orderBy("vec_id").limit(1).select("reduced").scalar()
     norm = lambda v: F.round(F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x)), 6)
-    return reduced.join(F.broadcast(first)).select("vec_id", norm(F.col("reduced")).alias("norm"), norm(F.zip_with("reduced", "f", lambda a, b: a - b)).alias("to_first"))
+    return reduced.withColumn("f", first).select("vec_id", norm(F.col("reduced")).alias("norm"), norm(F.zip_with("reduced", "f", lambda a, b: a - b)).alias("to_first"))
 
 
 @query("project_2d", f"WITH {components_sql(2)} SELECT vec_id, round(sum(x) FILTER (c = 0), 6) AS proj_x, round(sum(x) FILTER (c = 1), 6) AS proj_y FROM scores GROUP BY vec_id")
