@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.clean import NUMERIC_TEXT
-from ..functions.text import strip_space
+from ..functions.text import once, strip_space
 
 # Cell texts that mean "missing" in a CSV file.
 NA_TEXTS = [
@@ -39,8 +39,8 @@ def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     suspect = named & F.col("line").rlike(BARE_NUMBER) & F.try_parse_json("line").isNull()
     mended = F.regexp_replace("line", BARE_NUMBER, "$1null")
     rows = rows.select(F.when(suspect & F.try_parse_json(mended).isNotNull(), mended).otherwise(F.col("line")).alias("line"))
-    doc = F.try_parse_json("line")
-    return rows.select("line", doc.alias("doc"), F.when(doc.isNotNull(), "ok").otherwise("malformed").alias("status"))
+    rows = rows.select(once(F.struct("line", F.try_parse_json("line").alias("doc"))).alias("__l")).select("__l.*")
+    return rows.select("line", "doc", F.when(F.col("doc").isNotNull(), "ok").otherwise("malformed").alias("status"))
 
 
 def read_jsonl(spark: SparkSession, path: str, keep_malformed: bool = False) -> DataFrame:

@@ -11,7 +11,7 @@ from catalog_spark.operators import fitted
 from catalog_spark.plans import clustering, collection, listing
 from catalog_spark.sources.files import read_csv_typed
 from catalog_spark.streaming.centroids import read_state, track_centroids
-from catalog_spark.streaming.ingest import ingest_new
+from catalog_spark.streaming.ingest import ingest_new, keyed_documents
 
 
 def paths(tmp_path):
@@ -134,6 +134,14 @@ def test_stream_ingest_restarts(spark, tmp_path):
     assert sorted((r.store_id, r.tcin) for r in stored.collect()) == [("1", "10"), ("1", "11"), ("2", "10")]
 
 
+def test_keyed_documents_parse_a_line_once(rows):
+    docs = ['{"_store_id": "1", "_tcin": "", "data": {"product": {"tcin": 7}}}', ' {"store_id": 2, "tcin": " x "} ', '{"_store_id": "1", "_tcin": 0}', '{"_store_id": NaN, "store_id": "3", "tcin": "4"}', "{bad", ""]
+    found = keyed_documents(rows([(d,) for d in docs], "value string"))
+    assert [(r.store_id, r.tcin) for r in found.collect()] == [("1", "7"), ("2", "x"), ("3", "4")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") + plan.count("parse_json") <= 3  # a line, and twice those with a bare NaN
+
+
 def test_stream_ingest_with_watermark(spark, tmp_path):
     source = tmp_path / "in"
     drop(source, "a.jsonl", [json.dumps({"_store_id": "1", "_tcin": "5", "_fetched_at": f"2024-01-01T00:00:0{i}"}) for i in range(3)])
