@@ -276,27 +276,57 @@ def first_filled(v: Column, paths: list[tuple[str, ...]]) -> Column:
 
 # A string of a JSON text and, if it is a key with a plain value, the value.
 JSON_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
-JSON_ENTRY = rf"{JSON_STRING}(?::(?:{JSON_STRING}|-?[0-9][0-9.eE+-]*+|true|false))?"
+JSON_PLAIN = rf"(?:{JSON_STRING}|-?[0-9][0-9.eE+-]*+|true|false)"
+JSON_ENTRY = rf"{JSON_STRING}(?::{JSON_PLAIN})?"
+# A number that the two ways to write a document out may spell differently.
+DOUBTFUL_NUMBER = r"-?(?:[0-9]{19}|[0-9]*[.eE])"
+
+
+def _written(text: Column, wanted: str, duplicates: bool) -> Column:
+    """A document without blanks around its keys and with one spelling of each; null if it does not parse.
+
+    Copying the text is far cheaper than writing out what it was parsed to.  It would keep both of two equal keys, so it is
+    only done where such a document does not parse, and not where escapes or the number under the key may come out otherwise.
+    """
+    parsed = F.try_parse_json(text)
+    if duplicates:
+        return F.to_json(parsed)
+
+    def checked(pair: Column) -> Column:
+        v, copy = pair["v"], pair["copy"]
+        doubtful = copy.isNull() | copy.rlike(re.escape(wanted) + DOUBTFUL_NUMBER)
+        return F.when(v.isNull(), None).when(doubtful, F.to_json(v)).otherwise(copy)
+
+    copy = F.when(~text.contains("\\u"), F.get_json_object(text, "$"))
+    return F.transform(F.array(F.struct(parsed.alias("v"), copy.alias("copy"))), checked)[0]
 
 
 def key_values(docs: DataFrame, text: str, key: str, keep_columns: list[str], alias: str = "value") -> DataFrame:
     """Every distinct string or integer found under ``key`` at any depth, per carried columns.
 
-    A parsed document is written out again, so that keys have one spelling and no blanks around them; its strings are
-    then read from left to right together with the plain value behind them.  A key inside a string is part of that
-    string, so it is not found.  Truth values count as ``True`` and ``False``.
+    A document that parses is written out again, so that keys have one spelling and no blanks around them, and read by a
+    pattern for the key and the plain value behind it.  A key inside a string is part of that string, so it is not found.  Truth values count as ``True`` and ``False``.  Of equal keys in one object the last counts
+    if the session allows them (``spark.sql.variant.allowDuplicateKeys``); otherwise such a document does not parse.
     """
-    written = F.to_json(F.try_parse_json(F.trim(text)))
     wanted = json.dumps(key, ensure_ascii=False) + ":"
-    entries = F.filter(F.regexp_extract_all(written, F.lit(JSON_ENTRY), F.lit(0)), lambda e: e.startswith(wanted))
-    found = docs.where(F.col(text).contains(key) | F.col(text).contains("\\u")).select(*keep_columns, F.explode_outer(entries).alias("__e"))  # a plain explode would work them out twice
-    value = F.substring(F.col("__e"), F.lit(len(wanted) + 1), F.length("__e"))
-    plain = (
-        F.when(value.startswith('"'), F.variant_get(F.try_parse_json(value), "$", "string"))
-        .when(value.rlike("^-?[0-9]+$"), value)
-        .when(value.isin("true", "false"), F.initcap(value))
-    )
-    return found.select(*keep_columns, plain.alias(alias)).where(F.col(alias).isNotNull()).distinct()
+    duplicates = docs.sparkSession.conf.get("spark.sql.variant.allowDuplicateKeys") == "true"
+    written = _written(F.trim(text), wanted, duplicates)
+    if re.match(r"\w", key):  # a quote before a letter ends no string, unless it is escaped; what ends in a quote and a colon is a key
+        values = F.regexp_extract_all(written, F.lit(rf"(?<!\\){re.escape(wanted)}({JSON_PLAIN})"), F.lit(1))
+    else:
+        entries = F.filter(F.regexp_extract_all(written, F.lit(JSON_ENTRY), F.lit(0)), lambda e: e.startswith(wanted))
+        values = F.transform(entries, lambda e: F.substring(e, F.lit(len(wanted) + 1), F.length(e)))
+
+    def plain(value: Column) -> Column:
+        return (
+            F.when(value.startswith('"'), F.when(value.contains("\\"), F.variant_get(F.try_parse_json(value), "$", "string")).otherwise(F.substring(value, F.lit(2), F.length(value) - 2)))
+            .when(value.rlike("^-?[0-9]+$"), value)
+            .when(value.isin("true", "false"), F.initcap(value))
+        )
+
+    # as values of one array, which no filter further up works out again
+    found = F.when(F.col(text).contains(key) | F.col(text).contains("\\u"), F.array_distinct(F.transform(values, plain)))
+    return docs.select(*keep_columns, F.explode_outer(found).alias(alias)).where(F.col(alias).isNotNull()).distinct()
 
 
 def add_fields(doc: Column, fields: dict[str, Column]) -> Column:

@@ -100,6 +100,23 @@ def test_key_values_reads_text_in_the_jvm(rows):
     assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_key_values_of_copied_texts(spark, rows):
+    docs = ['{"tcin" : 1, "a":"\\\\"}', '{"tcin":1.0}', '{"tcin":-0}', '{"tcin":12345678901234567890.0}', '{"tcin":1,"tcin":2}', '{"a":{"tcin":1},"a":3}', '{"tcin":"1"}{"tcin":"2"}',
+            '{"a":"x\\"tcin\\":7","x\\"tcin":8,"b":["tcin",{"tcin":"\\"tcin\\":5"}]}', '{"tc\\u0069n":"u"}', '{"tcin":tru}', '{"tcin":[{"tcin":"é\\n"},{"tcin":"é\\n"}]}']
+    df = rows([(i, d) for i, d in enumerate(docs)], "i int, doc string")
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "false")
+    try:
+        found = flatten.key_values(df, "doc", "tcin", ["i"])
+        got = sorted(tuple(r) for r in found.collect())
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    whole = [(0, "1"), (1, "1"), (2, "0"), (3, "12345678901234567890"), (6, "1"), (7, '"tcin":5'), (8, "u"), (10, "é\n")]
+    assert got == whole
+    assert sorted(tuple(r) for r in flatten.key_values(df, "doc", "tcin", ["i"]).collect()) == sorted([*whole, (4, "2")])
+    assert "get_json_object" in plan and plan.count("regexp_extract_all") == 1 and "Filter (Contains" not in plan
+
+
 def test_first_filled(rows):
     docs = ['{"a": " x ", "b": "y"}', '{"a": "", "b": 7}', '{"a": 0, "b": false, "c": {"d": "z"}}', '{"a": "0"}', "{}", '{"a": 0.0, "b": []}']
     df = rows([(i, d) for i, d in enumerate(docs)], "i int, doc string").withColumn("v", F.try_parse_json("doc"))
