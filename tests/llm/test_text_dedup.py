@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -198,6 +199,67 @@ def test_long_texts_in_pieces():
     assert windows(whole) == windows(parts)
 
 
+def test_runs_in_blocks(monkeypatch):
+    rng = np.random.default_rng(2)
+    size = rng.choice([0, 1, 49, 50, 51, 300], 40)
+    data, end = rng.integers(97, 100, size.sum()).astype(np.uint8), np.cumsum(size)
+    whole = suffix._runs(data, end - size, end, 50)
+    assert len(whole[0]) > 40 and set(whole[0]) == set(np.flatnonzero(size >= 50))
+    for block in (1, 7, 64):
+        monkeypatch.setattr(suffix, "BLOCK_BYTES", block)
+        assert all(np.array_equal(x, y) for x, y in zip(whole, suffix._runs(data, end - size, end, 50)))
+
+
+@pytest.mark.parametrize("parts", [1, 5, 3000])
+def test_packing_does_not_grow_with_the_buckets(monkeypatch, parts):
+    """The columns of a chunk are packed in one go each, whatever the number of buckets, and come out as they went in."""
+    calls, original = [], suffix._planes
+    monkeypatch.setattr(suffix, "_planes", lambda *a: calls.append(1) or original(*a))
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abcdef") for _ in range(2000)).encode() for _ in range(20)]
+    texts += [t[500:1200] for t in texts[:10]] + texts[:5]
+    row = pa.array([hash(t) for t in texts], pa.int64())
+    entries = list(suffix._anchors(50, parts)(iter([pa.RecordBatch.from_arrays([row, pa.array(texts, pa.binary())], ["row", "body"])])))
+    assert len(calls) == 5
+    bucket = pa.Table.from_batches(entries)
+    got = set()
+    for k in set(bucket["bucket"].to_pylist()):
+        for out in suffix._repeated(iter(bucket.filter(pa.array([b == k for b in bucket["bucket"].to_pylist()])).drop_columns(["bucket"]).to_batches())):
+            got |= {(r["row"], r["low"], r["n"]) for r in out.to_pylist()}
+    runs = [(hash(t), int(low), int(n), int(a)) for t in dict.fromkeys(texts) for _, low, n, a in zip(*suffix._runs(np.frombuffer(t, np.uint8), np.array([0]), np.array([len(t)]), 50))]
+    owners = {}
+    for t, _, _, a in runs:
+        owners.setdefault(a & ((1 << 48) - 1), set()).add(t)
+    assert got == {(t, low, n) for t, low, n, a in runs if len(owners[a & ((1 << 48) - 1)]) > 1}
+
+
+def test_suffixes_are_sorted_by_one_key(monkeypatch):
+    """Rank and stretch fit one number, so no sort of two keys is needed; symbols are compared by words, at the end of the text too."""
+    monkeypatch.setattr(np, "lexsort", None)
+    rng = np.random.default_rng(5)
+    passage = rng.integers(98, 102, 90)
+    text = np.concatenate([rng.integers(98, 102, 3000), passage, [0], rng.integers(98, 102, 500), passage]).astype(np.uint16)
+    place, common = (np.concatenate(x) for x in zip(*induced.sorted_suffixes(text)))
+    plain = text.tolist()
+    assert sorted(place) == list(range(len(text)))
+    for a, b, c in zip(place, place[1:], common[1:]):
+        x, y = plain[a:][: induced.DEPTH], plain[b:][: induced.DEPTH]
+        assert x >= y and c == next((k for k, (u, v) in enumerate(zip(x, y)) if u != v), min(len(x), len(y)))
+
+
+def test_spans_merge_by_row():
+    kind = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
+    spans = [None, [(0, 50), (10, 60), (60, 70), (71, 80)], [], [(5, 55)], [(0, 90), (3, 53), (95, 99)]]
+    column = pa.array([None, *(None if s is None else [{"from": a, "to": b} for a, b in s] for s in spans)], kind)[1:]
+    owner, low, high = suffix._merged(column)
+    assert list(zip(owner, low, high)) == [(1, 0, 70), (1, 71, 80), (3, 5, 55), (4, 0, 90), (4, 95, 99)]
+    body = bytes(range(100))
+    batch = pa.RecordBatch.from_arrays([pa.array([3] * 5), pa.array([3, 3, 3, 3, 1]), pa.array([body] * 5, pa.binary()), column], ["id", "first", "body", "spans"])
+    whole, cut, none, one, copy = suffix._left(batch, 50)
+    assert whole == none == (body, 100, 0, 0) and copy == (b"", 100, 100, 1)
+    assert cut == (body[70:71] + body[80:], 100, 79, 2) and one == (body[:5] + body[55:], 100, 50, 1)
+
+
 def test_removal_at_the_edges(rows):
     passage = "x" + "".join(chr(97 + i % 23) for i in range(59))
     values = [(1, passage), (2, "é" + passage + "é"), (None, passage), (4, passage[:49]), (4, passage), (4, passage)]
