@@ -37,10 +37,12 @@ class ToxicityModel:
 def words_of(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, word) pairs of texts in order, and (from, to) of the different words in lower case."""
     owner, at, to = spans(data, start, end, symbols=True)
-    letters = np.r_[0, np.cumsum((data >= 128) | ((data | 32) >= 97) & ((data | 32) <= 122))]
-    word = letters[to] > letters[at]  # numbers and symbols say nothing
+    low, high = (int(at[0]), int(to[-1])) if len(at) else (0, 0)
+    own = data[low:high]  # the texts may be few of a large batch
+    letters = np.r_[0, np.cumsum((own >= 128) | ((own | 32) >= 97) & ((own | 32) <= 122))]
+    word = letters[to - low] > letters[at - low]  # numbers and symbols say nothing
     owner, at, to = owner[word], at[word], to[word]
-    _, first, which = np.unique(hashed(lower(data), at, to), return_index=True, return_inverse=True)
+    _, first, which = np.unique(hashed(data, at, to, fold=True), return_index=True, return_inverse=True)
     return owner, which, at[first], to[first]
 
 

@@ -1,6 +1,7 @@
 """Language, quality, toxicity and mixing: gradients, held-out accuracy, and odd rows."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -56,6 +57,37 @@ def test_words_and_hashes():
     assert flat.chunks(np.array([0, 5, 5, 30]), np.array([5, 5, 30, 31]), 10) == [slice(0, 2), slice(2, 3), slice(3, 4)]
 
 
+def test_folded_hashes():
+    data = np.frombuffer("Ab aB \u00c9a \u00e9a [ @ { ab".encode(), np.uint8)
+    _, at, to = flat.spans(data, np.array([0]), np.array([len(data)]), symbols=False)
+    folded = flat.hashed(data, at, to, fold=True)
+    assert np.array_equal(folded, flat.hashed(flat.lower(data), at, to))
+    assert folded[0] == folded[1] == folded[-1] and len(set(folded.tolist())) == len(at) - 2
+
+
+def test_a_chunk_reads_no_more_than_its_texts():
+    """A batch is taken in chunks; what one of them needs does not grow with the batch around it."""
+    text = b"One two %% TWO three 12 one one"
+    low = 1 << 22
+    data = np.full(1 << 24, 32, np.uint8)
+    data[low : low + len(text)] = np.frombuffer(text, np.uint8)
+    alone = np.frombuffer(text, np.uint8)
+    start, end = np.array([low, low + 8]), np.array([low + 8, low + len(text)])
+    for found in (mixing._features, toxicity.words_of):
+        plain = found(alone, start - low, end - low)
+        tracemalloc.start()
+        got = found(data, start, end)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        shift = [0, 0, 0] if found is mixing._features else [0, 0, low, low]
+        assert all(np.array_equal(x, y + s) for x, y, s in zip(got, plain, shift))
+        assert peak < 1 << 20
+    owner, feature, words = mixing._features(data, start, end)
+    pairs = list(zip(owner.tolist(), feature.tolist()))
+    assert pairs == sorted(set(pairs)) and words.tolist() == [2, 6]
+    assert all(len(x) == 0 for x in mixing._features(data[:0], np.zeros(0, int), np.zeros(0, int)))
+
+
 # --- language -------------------------------------------------------------------------------------------------------
 
 
