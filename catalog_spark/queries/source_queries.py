@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.clean import iso_second
-from ..session import spread, work_folder
+from ..session import release, spread, work_folder
 from ..sources import files, listing, sinks
 from ..spec import curated
 from . import fixtures as fx
@@ -160,7 +160,8 @@ def jsonl_append_roundtrip(t):
 )
 def flat_export(t):
     path, out = work_folder(t.spark, "docs"), work_folder(t.spark, "flat")
-    sinks.append_documents(fx.product_documents(t), "doc", path)
+    sinks.append_documents(fx.product_documents(t), "doc", path, compression="gzip")
+    release(t.spark)  # the documents are written, what was shuffled for them is not needed beside the export
     sinks.export_flat(t.spark, path, out)
     flat = files.read_csv_typed(t.spark, out, string_columns=["_store_id"])
     return flat.select(

@@ -1,10 +1,12 @@
 import json
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from catalog_spark.operators import embedded, flatten
+from catalog_spark.session import work_folder
 from catalog_spark.sources import files, listing, sinks
 
 SLOW = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -235,3 +237,28 @@ def test_export_parses_a_line_once(spark, tmp_path, monkeypatch):
     assert sorted(map(tuple, flat.collect()), key=str) == [(1, None), (None, "NaN"), (None, None)]
     (docs, more), = given
     assert more == {"variant": "doc"} and docs.where("doc IS NULL").count() == 1
+
+
+def test_export_and_its_documents_are_small_on_disk(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "FILE_ROWS", 50, raising=False)
+    docs = spark.range(400).select(F.to_json(F.struct("id", F.lit("quoted \", and\nbroken ").alias("note"), F.repeat(F.lit("common words "), 20).alias("text"))).alias("doc"))
+    sinks.append_documents(docs.coalesce(2), "doc", str(tmp_path / "in"), compression="gzip")
+    flat = sinks.export_flat(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    written = {name: list((tmp_path / name).glob("part-*")) for name in ("in", "out")}
+    assert len(written["in"]) == 8 and len(written["out"]) >= 8  # files are read by one task each, so their rows are bounded
+    assert all(sum(p.stat().st_size for p in files_) < 400 * 260 / 5 for files_ in written.values())
+    back = files.read_csv_typed(spark, str(tmp_path / "out"))
+    assert back.count() == 400 and not back.exceptAll(flat).count() and not flat.exceptAll(back).count()
+    sinks.export_flat(spark, str(tmp_path / "in"), str(tmp_path / "plain"), compression=None)
+    assert all(p.suffix == ".csv" for p in (tmp_path / "plain").glob("part-*"))
+
+
+def test_flat_export_query_writes_no_plain_text(spark, data, monkeypatch):
+    from __spark_entry__ import queries
+    from catalog_spark.queries import source_queries
+
+    folders = []
+    monkeypatch.setattr(source_queries, "work_folder", lambda s, label: folders.append(work_folder(s, label)) or folders[-1])
+    assert queries()["flat_export"](spark, data).count() == spark.read.parquet(f"{data}/orders.parquet").count()
+    parts = [p for folder in folders for p in Path(folder.removeprefix("file:")).glob("part-*")]
+    assert len(folders) == 2 and len(parts) >= 2 and all(p.suffix == ".gz" for p in parts)
