@@ -1,12 +1,16 @@
+from functools import reduce
+
 import numpy as np
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.ml import PipelineModel
 from pyspark.ml.linalg import Vectors, VectorUDT
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.ml.functions import array_to_vector, vector_to_array
 
 from catalog_spark.functions.vectors import nonfinite_entries
-from catalog_spark.operators import cluster, features, kselect, lloyd, neighbors, project, tfidf
+from catalog_spark.operators import cluster, features, grouped as grouped_counts, kselect, lloyd, neighbors, project, tfidf
 
 rng = np.random.default_rng(7)
 
@@ -391,3 +395,48 @@ def test_nonfinite_entries_of_sparse_and_dense_rows(spark):
     df = spark.createDataFrame(data, T.StructType([T.StructField("id", T.LongType()), T.StructField("features", VectorUDT())]))
     got = {(r.id, r.position): str(r.value) for r in nonfinite_entries(df, "id").collect()}
     assert got == {(1, 7): "nan", (1, 999_999): "-inf", (2, 1): "inf"}
+
+
+@pytest.mark.parametrize("id_type", ["int", "string"])
+@pytest.mark.parametrize("limit", [None, 5])
+def test_grouped_counts_give_the_same_weights(rows, monkeypatch, id_type, limit):
+    monkeypatch.setattr(tfidf, "TASK_BYTES", 30, raising=False)
+    texts = ["a Élan élan snake_case x", "elan vital, elan vital", None, "", "one two one two one", "ab c abc ab", "ab abc 12 ３４ ab", "Straße straße élan vital"]
+    docs = [(i if id_type == "int" else f"k{i}", text) for i, text in enumerate(texts * 4)]
+    docs += [(docs[0][0], "snake_case again"), (None, "one two"), (None, "two one"), (docs[3][0], "vital one")]
+    df = rows(docs, f"id {id_type}, text string")
+    by_row, grouped = tfidf.term_counts(df, "id", "text"), tfidf.term_counts(df, "id", "text", grouped=True)
+    fits = [tfidf.fit_tfidf(c, 33, min_df=3, max_features=limit) for c in (by_row, grouped)]
+    tables = [[tuple(r) for r in f.vocabulary.orderBy("position").collect()] for f in fits]
+    assert tables[0] == tables[1] and len(tables[0]) == (limit or len(tables[0])) > 4
+    shares = grouped.split()
+    assert len(shares) == 2
+    weighed = [fits[0].long(by_row, "id"), fits[1].long(grouped, "id"), reduce(DataFrame.union, [fits[1].long(s, "id") for s in shares])]
+    assert all(w.columns == ["id", "term", "position", "weight"] for w in weighed)
+    found = [sorted(((r.id, r.term, r.position, round(r.weight, 9)) for r in w.collect()), key=str) for w in weighed]
+    assert found[0] and found[0] == found[1] == found[2]
+    assert fits[1].long(grouped, "id", terms=False).columns == ["id", "position", "weight"]
+    with pytest.raises(ValueError):
+        fits[1].long(tfidf.term_counts(df, "id", "text", grouped=True), "id")
+
+
+def test_grouped_counts_of_nothing(rows):
+    grouped = tfidf.term_counts(rows([], "id long, text string"), "id", "text", grouped=True)
+    fit = tfidf.fit_tfidf(grouped, 0)
+    assert fit.vocabulary.count() == 0 and fit.long(grouped, "id").count() == 0
+
+
+def test_grouped_pairs_too_many_for_one_number(monkeypatch):
+    texts = pa.table({"id": ["a", "b", "a"], "__words": pa.array([["x1", "x2", "x1", "x2"], None, ["x1"]], pa.list_(pa.string()))})
+    small = grouped_counts.count_terms(texts, "id")
+    monkeypatch.setattr(grouped_counts, "ONE_NUMBER", 0)
+    large = grouped_counts.count_terms(texts, "id")
+    for got in (small, large):
+        named = [(t, got.ids[int(r)].as_py(), int(n)) for t, r, n in zip(got.terms(got.term).to_pylist(), got.row, got.tf)]
+        assert named == [("x1", "a", 3), ("x1 x2", "a", 2), ("x2", "a", 2), ("x2 x1", "a", 1)]
+
+
+@given(st.lists(st.integers(-(2**40), 2**40)) | st.lists(st.integers(0, 2**32 - 1)) | st.lists(st.integers(0, 300)))
+@settings(max_examples=60, deadline=None)
+def test_squeezed_numbers_come_back(values):
+    assert grouped_counts.stretch(grouped_counts.squeeze(np.array(values, np.int64))).tolist() == values

@@ -1,6 +1,7 @@
 """Shapes of physical plans."""
 
 import re
+from pathlib import Path
 
 import pytest
 from oracle_check import compare, duck
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import oracle_sql, queries
 from catalog_spark.operators import relate, tfidf
+from catalog_spark.session import work_folder
 
 
 def plan(df):
@@ -54,3 +56,15 @@ def test_tasks_that_count_terms_grow_with_the_texts(rows, monkeypatch):
     counts = tfidf.term_counts(docs, "id", "t")
     assert counts.rdd.getNumPartitions() == 44 and counts.count() == 200 * 4
     assert tfidf.term_counts(docs, "id", "t", 90_000).rdd.getNumPartitions() == 90
+
+
+def test_tfidf_weights_neither_writes_nor_shuffles_a_row_for_each_term_of_a_text(spark, data, monkeypatch):
+    monkeypatch.setattr(tfidf, "TASK_BYTES", 20_000, raising=False)  # more groups than cores, so in shares
+    folder = Path(work_folder(spark).removeprefix("file:")).parent
+    before = set(folder.glob("*"))
+    found = queries()["tfidf_weights"](spark, data)
+    written = {p.name.split("-")[0]: spark.read.parquet(str(p)).count() for p in set(folder.glob("*")) - before}
+    counts = tfidf.term_counts(spark.read.parquet(f"{data}/documents.parquet"), "doc_id", "text").count()
+    assert written and max(written.values()) < counts / 2, (written, counts)
+    assert "hashpartitioning(term" not in plan(found)
+    assert compare(spark, duck(data), data, lambda *_: found, oracle_sql()["tfidf_weights"]) is None
